@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shelfmatch import constants as K
-from shelfmatch.functions.numbers import text_or_null
+from shelfmatch.functions.numbers import let, text_or_null
 
 # Entities that occur in page texts; &amp; last, so that it is not read twice.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
@@ -90,15 +90,21 @@ def ingredients(html: Column) -> Column:
 
 def nutrients(html: Column) -> Column:
     """Label -> value map of the nutrition list; only items with exactly two spans count, a later label wins."""
-    section = element(html, "ul", "nutrition")
-    items = F.split(section, _open("div", "nutrition-item"))
-    spans = F.transform(
-        F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))),
-        lambda item: F.transform(
-            F.regexp_extract_all(item, F.lit(r"(?s)<span\b[^>]*>(.*?)</span>"), F.lit(1)), lambda s: plain(s)
-        ),
-    )
-    pairs = F.filter(spans, lambda s: F.size(s) == 2)
-    labels = F.array_distinct(F.transform(pairs, lambda p: p[0]))
-    values = F.transform(labels, lambda label: F.element_at(F.filter(pairs, lambda p: p[0] == label), -1)[1])
-    return F.when(section.isNotNull(), F.map_from_arrays(labels, values))
+    span = F.lit(r"(?s)<span\b[^>]*>(.*?)</span>")
+
+    def pairs(section):
+        items = F.split(section, _open("div", "nutrition-item"))
+        spans = F.transform(
+            F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))),
+            lambda item: F.transform(F.regexp_extract_all(item, span, F.lit(1)), plain),
+        )
+        return F.filter(spans, lambda s: F.size(s) == 2)
+
+    def last_value(found, label):
+        return F.element_at(F.filter(found, lambda p: p[0] == label), -1)[1]
+
+    def to_map(found):
+        labels = F.array_distinct(F.transform(found, lambda p: p[0]))
+        return F.map_from_entries(F.transform(labels, lambda label: F.struct(label, last_value(found, label))))
+
+    return let(element(html, "ul", "nutrition"), lambda section: let(pairs(section), to_map))

@@ -1,4 +1,6 @@
-"""Guarded arithmetic shared by the feature and similarity columns."""
+"""Guarded arithmetic and small helpers shared by the column builders."""
+
+from typing import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,3 +27,8 @@ def lookup(key: Column, table: dict, default: Column) -> Column:
         step = key == value
         chain = F.when(step, F.lit(result)) if chain is None else chain.when(step, F.lit(result))
     return chain.otherwise(default)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``; inside lambdas Spark does not share subexpressions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -24,10 +24,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other run uses."""
+    return f"{shared_folder(spark)}/shelfmatch/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/shelfmatch/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
