@@ -101,14 +101,14 @@ select c.*, a.copies as copies_a, b.copies as copies_b, a.name_only as name_only
 from candidates c join profiles a on product_id_a = a.product_id join profiles b on product_id_b = b.product_id
 join names na on product_id_a = na.product_id join names nb on product_id_b = nb.product_id
 join vectors va on product_id_a = va.product_id join vectors vb on product_id_b = vb.product_id"""),)
+SCORE = ("round(0.35::double * cos + 0.25::double * fuzz + 0.1::double * jacc + 0.25::double * quantity_score "
+         "+ 0.05::double * price_score, 9)")
 # Only pairs whose best possible score passes are compared character by character, as in the engine.
 SCORED = PARTS + (("open_pairs", """
 select * from parts where 0.35 * cos + 0.1 * jacc + 0.25 * quantity_score + 0.05 * price_score
   + 0.25 * case when length(sa) + length(sb) = 0 then 1 else 2 * least(length(sa), length(sb)) / (length(sa) + length(sb)) end > 0.599"""),
-) + common("open_pairs") + (("scored_pairs", """
-select p.*, fuzz, round(0.35::double * cos + 0.25::double * fuzz + 0.1::double * jacc + 0.25::double * quantity_score
-  + 0.05::double * price_score, 9) as score
-from open_pairs p join common using (sa, sb)"""), ("pairs", "select * from scored_pairs where score > 0.6::double"))
+) + common("open_pairs") + (("scored_pairs", f"""
+select p.*, fuzz, {SCORE} as score from open_pairs p join common using (sa, sb)"""), ("pairs", "select * from scored_pairs where score > 0.6::double"))
 BEST = SCORED + (("best", """
 select l.product_id, l.href, b.* exclude (product_id_a)
 from listing l join profiles p on l.shop = p.shop and l.name_only = p.name_only and l.own_brand = p.own_brand
@@ -273,14 +273,22 @@ def pairs_above(spark, folder):
     return plan.scored_pairs(catalogues(spark, folder))
 
 
-@query("fuzz_score", "select product_id_a, product_id_b, round(fuzz, 6) as name_fuzz_score from pairs", ("listing",), SCORED)
+def all_scored(spark, folder):
+    return plan.scored_pairs(catalogues(spark, folder), threshold=None)
+
+
+@query("fuzz_score", "select product_id_a, product_id_b, round(fuzz, 6) as name_fuzz_score from parts join common using (sa, sb)",
+       ("listing",), PARTS + common("parts"))
 def fuzz_score(spark, folder):
-    return pairs_above(spark, folder).select("product_id_a", "product_id_b", *rounded("name_fuzz_score"))
+    """Every candidate pair, compared character by character."""
+    return all_scored(spark, folder).select("product_id_a", "product_id_b", *rounded("name_fuzz_score"))
 
 
-@query("match_score", f"select product_id_a, product_id_b, {SQL_PARTS} from pairs", ("listing",), SCORED)
+@query("match_score", f"select product_id_a, product_id_b, {SQL_PARTS} from (select *, {SCORE} as score from parts join common using (sa, sb)) p",
+       ("listing",), PARTS + common("parts"))
 def match_score(spark, folder):
-    return pairs_above(spark, folder).select("product_id_a", "product_id_b", *rounded(*PART_COLUMNS, "score"))
+    """All five similarities and the score of every candidate pair."""
+    return all_scored(spark, folder).select("product_id_a", "product_id_b", *rounded(*PART_COLUMNS, "score"))
 
 
 @query("high_score_pairs", """

@@ -7,6 +7,7 @@ from shelfmatch import constants as K
 from shelfmatch.functions import text
 from shelfmatch.operators import matching
 from shelfmatch.plans.views import view
+from shelfmatch.sources.staging import stage
 
 
 def with_sides(catalogue: DataFrame, left=0, right=1) -> DataFrame:
@@ -31,3 +32,8 @@ def match(products: DataFrame, **options) -> DataFrame:
     """The best match above the threshold for each product of side a."""
     catalogues = matching.prepare(products, **options)
     return matching.best_matches(scored_pairs(catalogues), catalogues.members)
+
+
+def staged_matches(products: DataFrame, **options) -> DataFrame:
+    """The best matches as a written table, for reports that read them more than once."""
+    return stage(match(products, **options), "matches")
