@@ -20,9 +20,10 @@ SCORE_DIGITS = 9  # scores are rounded before any threshold, so the order of a s
 
 
 def jaccard(left: Column, right: Column) -> Column:
-    """Shared part of two token sets; two empty sets share nothing."""
-    union = F.size(F.array_union(left, right))
-    return F.when(union > 0, F.size(F.array_intersect(left, right)) / union).otherwise(F.lit(0.0))
+    """Shared part of two token sets (arrays without repeats); two empty sets share nothing."""
+    shared = F.size(F.array_intersect(left, right))
+    union = F.size(left) + F.size(right) - shared
+    return F.when(union > 0, shared / union).otherwise(F.lit(0.0))
 
 
 def relative_similarity(left: Column, right: Column, power: int = 1) -> Column:

@@ -37,7 +37,7 @@ def price_stats(products: DataFrame) -> DataFrame:
     def holds(position):
         return (F.col("upto") - F.col("rows") <= position) & (position < F.col("upto"))
 
-    middle = ranked.join(F.broadcast(means), "shop").where(holds(first) | holds(second))  # one row per shop, two shops
+    middle = ranked.join(means, "shop").where(holds(first) | holds(second))
     median = (F.max(F.when(holds(first), F.col("price"))) + F.max(F.when(holds(second), F.col("price")))) / 2
     return middle.groupBy("shop", "n_products", "mean_price").agg(median.alias("median_price"))
 
@@ -54,7 +54,7 @@ def price_density(products: DataFrame, points=200, cut=3.0) -> DataFrame:
     )
     shape = shape.withColumn("width", F.col("sd") * F.pow(F.col("n"), F.lit(-0.2)))
     start, end = F.col("low") - cut * F.col("width"), F.col("high") + cut * F.col("width")
-    grid = counts.join(F.broadcast(shape), "shop").select(  # one row per shop
+    grid = counts.join(shape, "shop").select(
         "shop", "price", "rows", "n", "width", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
         start.alias("start"), end.alias("end"),
     )

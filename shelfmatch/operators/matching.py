@@ -1,7 +1,7 @@
 """Blocked matching of two catalogues.
 
 Pairs are never written before they are scored. Copies are collapsed to profiles, key rows of both sides meet in
-cells of bounded size, and the exact score ceiling drops a pair inside the join stage, below the Python UDF. Only
+cells sized by the work, and the exact score ceiling drops a pair inside the join stage, below the Python UDF. Only
 pairs above the threshold reach another shuffle.
 """
 
@@ -17,8 +17,9 @@ from shelfmatch.operators import corpus
 from shelfmatch.operators.embedding import HashedTokens, encode
 from shelfmatch.sources.staging import broadcast_if_small, stage
 
-CELL_ROWS = 1000  # most rows of one side in a join cell: a cell yields about a million pairs at most
+MIN_CELL_ROWS = 50  # rows of one side in the smallest join cells
 TASK_PAIRS = 2_000_000  # pairs one join task should look at
+TASK_ROWS = 500_000  # rows one join task should hold
 MAX_TASKS = 100_000
 BROADCAST_ROWS = 200_000  # narrow rows (a key and a few numbers), some 20 MB
 
@@ -39,27 +40,28 @@ def profile_key():
     return F.sha2(F.concat_ws("\u0001", *shown), 256)
 
 
+def _spread(products: DataFrame, keys: list) -> DataFrame:
+    """Use all cores for the encoding even if the source has few splits; a large source is left as it is scanned."""
+    cores = products.sparkSession.sparkContext.defaultParallelism
+    return products.repartition(cores, *keys) if products.rdd.getNumPartitions() < cores else products
+
+
 def prepare(products: DataFrame, make_encoder=HashedTokens, null_blocks="match") -> Catalogues:
-    """Collapse copies to profiles, encode each profile once and give it its block keys.
+    """Encode the products, collapse copies to profiles and give each profile its block keys.
 
     ``products``: side ('a' or 'b'), product_id, href, name_only, own_brand, quantity, price, product_text. The texts
-    are read twice, once for the profile keys and once for the profiles to encode; all else works on narrow tables.
+    are read once and never shuffled; all that follows reads the columns it needs of the staged members.
     ``null_blocks='match'`` lets all products without block tokens meet, ``'drop'`` leaves them out.
     """
-    spark = products.sparkSession
     keys = ["side", "product_id"]
-    narrow = products.select(*keys, "href", "name_only", "own_brand", "quantity", "price", profile_key().alias("profile_key"))
-    members = stage(narrow, "members")
+    encoded = encode(_spread(products, keys).withColumn("profile_key", profile_key()), "product_text", make_encoder)
+    members = stage(encoded.drop("product_text"), "members")
     vocab = stage(corpus.vocabulary(members), "vocabulary")
     # grouped are keys and ids only, as partial minima and counts, so a profile with very many copies is no hot group
     kept = members.groupBy("side", "profile_key").agg(
         F.min("product_id").alias("product_id"), F.count(F.lit(1)).alias("copies")
     )
     kept = members.join(kept.drop("profile_key"), keys)
-    # encoding costs far more than the bytes of the texts tell, hence a fixed number of tasks
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = products.select(*keys, "product_text").repartition(tasks, *keys).join(kept.select(*keys), keys, "left_semi")
-    vectors = encode(texts, "product_text", make_encoder).select(*keys, "embedding")
     ranked = corpus.ranked_token_lists(kept.select(*keys, "name_only"), broadcast_if_small(vocab, BROADCAST_ROWS), keys)
     # Two ranked tokens that form a shared pair key share their first token as a single key too, since that token is
     # among the first four on both sides. So singles find every pair, unless a token itself holds the separator.
@@ -67,7 +69,7 @@ def prepare(products: DataFrame, make_encoder=HashedTokens, null_blocks="match")
     blocks = corpus.single_blocks(F.col("ranked")) if singles_only else corpus.name_blocks(F.col("ranked"))
     block_keys = F.transform(F.array_distinct(blocks), lambda t: corpus.block_key(F.col("own_brand"), t))
     no_keys = F.array(F.lit(corpus.NULL_BLOCK)) if null_blocks == "match" else F.array().cast("array<string>")
-    profiles = kept.join(vectors, keys).join(ranked, keys, "left").select(
+    profiles = kept.join(ranked, keys, "left").select(
         *keys, "profile_key", "copies", "name_only", "own_brand", "quantity", "price", "embedding",
         F.array_distinct(text.tokens(F.col("name_only"))).alias("name_tokens"),
         text.sorted_words(F.col("name_only")).alias("sorted_name"),
@@ -103,11 +105,13 @@ def candidate_pairs(profiles: DataFrame) -> DataFrame:
     rows = profiles.withColumn("block_key", F.explode("keys"))
     # one narrow row per block; staged, as the work is measured before the join is laid out
     sizes = stage(block_sizes(rows.select("side", "block_key", F.lit(1).alias("copies"))), "block-sizes")
-    work = sizes.agg(F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("pairs")).first()["pairs"]
+    work = sizes.agg(
+        F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum(F.col("n_a") + F.col("n_b")), F.lit(0)).alias("rows")
+    ).first()
     # a fixed number by work: sized by bytes, the narrow rows would land in a few tasks that then make all the pairs
     shuffle = int(profiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(max(shuffle, work // TASK_PAIRS), MAX_TASKS)
-    cell_rows = min(CELL_ROWS, max(50, math.isqrt(work // (4 * tasks))))  # no cell beyond a quarter of a fair share
+    tasks = min(max(shuffle, work["pairs"] // TASK_PAIRS, work["rows"] // TASK_ROWS), MAX_TASKS)
+    cell_rows = max(MIN_CELL_ROWS, math.isqrt(work["pairs"] // (4 * tasks)))  # a cell is a quarter of a fair share
 
     def parts(n):
         return F.ceil(F.col(n) / cell_rows).cast("int")

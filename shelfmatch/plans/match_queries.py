@@ -9,6 +9,7 @@ from shelfmatch.operators.embedding import encode
 from shelfmatch.plans import matching as plan
 from shelfmatch.plans.registry import query
 from shelfmatch.plans.views import table, view
+from shelfmatch.sources.staging import stage
 
 # --- SQL fragments shared by the checks ---
 
@@ -320,7 +321,7 @@ select (select count(*) from listing where shop = 0) * (select count(*) from lis
 def blocking_stats(spark, folder):
     """Pairs without blocking, candidate rows, pairs above the threshold and matched products."""
     ready = catalogues(spark, folder)
-    pairs = plan.scored_pairs(ready)
+    pairs = stage(plan.scored_pairs(ready), "pairs")  # read twice
     found = matching.best_matches(pairs, ready.members)
     sides = ready.members.agg(
         (F.count_if(F.col("side") == "a") * F.count_if(F.col("side") == "b")).alias("all_pairs")

@@ -25,8 +25,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/shelfmatch/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses, grouped by application so that it can be cleared later."""
+    return f"{shared_folder(spark)}/shelfmatch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
