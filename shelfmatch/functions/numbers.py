@@ -21,12 +21,10 @@ def decimal_comma(column: Column) -> Column:
 
 
 def lookup(key: Column, table: dict, default: Column) -> Column:
-    """Map a column through a small literal table."""
-    chain = None
-    for value, result in table.items():
-        step = key == value
-        chain = F.when(step, F.lit(result)) if chain is None else chain.when(step, F.lit(result))
-    return chain.otherwise(default)
+    """Map a column through a small literal table. One expression per use of ``key``: nested CASE chains would grow
+    with the product of their branches once the optimizer inlines them."""
+    entries = [F.lit(x) for pair in table.items() for x in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*entries), key), default)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

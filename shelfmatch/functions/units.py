@@ -30,12 +30,19 @@ def canonical_unit(unit: Column) -> Column:
     return lookup(unit, K.UNIT_SYNONYMS, unit)
 
 
-def base_quantity(amount: Column, unit: Column, table: dict) -> Column:
-    return amount / lookup(unit, {u: float(divisor) for u, (_, divisor) in table.items()}, F.lit(1.0))
+def _with_synonyms(table: dict) -> dict:
+    """The base-unit table for units as written: synonyms first, so that one lookup does both steps."""
+    written = {word: table.get(unit, (unit, 1)) for word, unit in K.UNIT_SYNONYMS.items()}
+    return {**table, **written}
 
 
-def base_unit(unit: Column, table: dict) -> Column:
-    return lookup(unit, {u: base for u, (base, _) in table.items()}, unit)
+def base_quantity(amount: Column, word: Column, table: dict) -> Column:
+    divisors = {w: float(divisor) for w, (_, divisor) in _with_synonyms(table).items()}
+    return amount / lookup(word, divisors, F.lit(1.0))
+
+
+def base_unit(word: Column, table: dict) -> Column:
+    return lookup(word, {w: base for w, (base, _) in _with_synonyms(table).items()}, word)
 
 
 def multipack_quantity(portion: Column) -> Column:

@@ -39,26 +39,25 @@ def unreadable_numbers(df: DataFrame, columns=NUMERIC) -> DataFrame:
 
 def text_sizes(df: DataFrame, strict=False) -> DataFrame:
     """Quantity and unit from the portion text, in kg, l or pieces; a multipack sets the quantity but not the unit."""
-    portion = F.col("portion")
+    portion, word = F.col("portion"), F.col("_word")
     read = df.withColumns({
         "_amount": units.quantity(portion, strict),
-        "_unit": units.unit_word(portion, strict),
+        "_word": units.unit_word(portion, strict),
         "_pack": units.multipack_quantity(portion),
-    }).withColumn("_unit", units.canonical_unit(F.col("_unit")))
-    single = units.base_quantity(F.col("_amount"), F.col("_unit"), K.BASE_UNITS_TEXT)
+    })
     sized = read.withColumns({
-        "quantity": F.coalesce("_pack", single),
-        "unit": units.base_unit(F.col("_unit"), K.BASE_UNITS_TEXT),
+        "quantity": F.coalesce("_pack", units.base_quantity(F.col("_amount"), word, K.BASE_UNITS_TEXT)),
+        "unit": units.base_unit(word, K.BASE_UNITS_TEXT),
     })
-    return sized.drop("_amount", "_unit", "_pack")
+    return sized.drop("_amount", "_word", "_pack")
 
 
 def field_sizes(df: DataFrame) -> DataFrame:
     """The same for catalogues with quantity and unit fields."""
-    known = df.withColumn("unit", units.canonical_unit(F.col("unit")))
-    return known.withColumns({
-        "quantity": units.base_quantity(F.col("quantity"), F.col("unit"), K.BASE_UNITS_FIELDS),
-        "unit": units.base_unit(F.col("unit"), K.BASE_UNITS_FIELDS),
+    word = F.col("unit")
+    return df.withColumns({
+        "quantity": units.base_quantity(F.col("quantity"), word, K.BASE_UNITS_FIELDS),
+        "unit": units.base_unit(word, K.BASE_UNITS_FIELDS),
     })
 
 

@@ -2,7 +2,6 @@
 
 import hashlib
 import re
-from collections import Counter
 from typing import Callable, Iterator
 
 import numpy as np
@@ -11,35 +10,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+WORD = re.compile(r"\w+")
 Encoder = Callable[[list[str]], np.ndarray]
 
 
+class _Buckets(dict):
+    """md5 bucket per token, remembered."""
+
+    def __init__(self, width):
+        super().__init__()
+        self.width = width
+
+    def __missing__(self, token):
+        if len(self) > 500_000:
+            self.clear()
+        bucket = self[token] = int(hashlib.md5(token.encode()).hexdigest()[-8:], 16) % self.width
+        return bucket
+
+
 class HashedTokens:
     """Default encoder: token counts in md5 buckets, scaled to length one. Needs no model file."""
 
     def __init__(self, width=64):
-        self.width = width
-        self.buckets = {}
-
-    def _bucket(self, token: str) -> int:
-        bucket = self.buckets.get(token)
-        if bucket is None:
-            if len(self.buckets) > 200_000:
-                self.buckets.clear()
-            bucket = self.buckets[token] = int(hashlib.md5(token.encode()).hexdigest()[-8:], 16) % self.width
-        return bucket
+        self.buckets = _Buckets(width)
+
+    def _counts(self, value: str) -> np.ndarray:
+        buckets = self.buckets
+        return np.bincount([buckets[t] for t in WORD.findall(value.lower())] or [0], minlength=buckets.width)
 
     def __call__(self, texts: list[str]) -> np.ndarray:
-        counts = np.zeros((len(texts), self.width))
-        for row, value in zip(counts, texts):
-            for token, n in Counter(re.findall(r"\w+", value.lower())).items():
-                row[self._bucket(token)] += n
+        counts = np.array([self._counts(t) if WORD.search(t) else np.zeros(self.buckets.width) for t in texts], dtype=float)
         norms = np.sqrt((counts**2).sum(axis=1, keepdims=True))
         return np.divide(counts, norms, out=np.zeros_like(counts), where=norms > 0).astype(np.float32)
 
 
-def encode(products: DataFrame, column="product_text", make_encoder: Callable[[], Encoder] = HashedTokens) -> DataFrame:
-    """Add ``embedding``. ``make_encoder`` runs once per Python worker task, so a model is loaded once, not per batch."""
+def encode(
+    products: DataFrame, key: list[str], column="product_text", make_encoder: Callable[[], Encoder] = HashedTokens
+) -> DataFrame:
+    """Add ``embedding``. ``make_encoder`` runs once per Python worker task, so a model is loaded once, not per batch.
+
+    A source with fewer splits than cores is spread by ``key`` first; a large one is encoded as it is scanned.
+    """
+    cores = products.sparkSession.sparkContext.defaultParallelism
+    if products.rdd.getNumPartitions() < cores:
+        products = products.repartition(cores, *key)
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -47,4 +61,5 @@ def encode(products: DataFrame, column="product_text", make_encoder: Callable[[]
         for batch in batches:
             yield pd.Series(list(encoder(batch.fillna("").tolist())), index=batch.index, dtype=object)
 
-    return products.withColumn("embedding", vectors(F.col(column)))
+    # nondeterministic by name only, so that no filter or explode on the result makes the optimizer encode twice
+    return products.withColumn("embedding", vectors.asNondeterministic()(F.col(column)))

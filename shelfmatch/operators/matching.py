@@ -40,12 +40,6 @@ def profile_key():
     return F.sha2(F.concat_ws("\u0001", *shown), 256)
 
 
-def _spread(products: DataFrame, keys: list) -> DataFrame:
-    """Use all cores for the encoding even if the source has few splits; a large source is left as it is scanned."""
-    cores = products.sparkSession.sparkContext.defaultParallelism
-    return products.repartition(cores, *keys) if products.rdd.getNumPartitions() < cores else products
-
-
 def prepare(products: DataFrame, make_encoder=HashedTokens, null_blocks="match") -> Catalogues:
     """Encode the products, collapse copies to profiles and give each profile its block keys.
 
@@ -54,7 +48,7 @@ def prepare(products: DataFrame, make_encoder=HashedTokens, null_blocks="match")
     ``null_blocks='match'`` lets all products without block tokens meet, ``'drop'`` leaves them out.
     """
     keys = ["side", "product_id"]
-    encoded = encode(_spread(products, keys).withColumn("profile_key", profile_key()), "product_text", make_encoder)
+    encoded = encode(products.withColumn("profile_key", profile_key()), keys, "product_text", make_encoder)
     members = stage(encoded.drop("product_text"), "members")
     vocab = stage(corpus.vocabulary(members), "vocabulary")
     # grouped are keys and ids only, as partial minima and counts, so a profile with very many copies is no hot group

@@ -40,16 +40,20 @@ def category_tree(pages: DataFrame, start: str) -> DataFrame:
 
 
 def product_rows(pages: DataFrame) -> DataFrame:
-    """All product fields of a page in one projection, with ``problem`` naming why a page is unusable."""
+    """All product fields of a page in one pass, with ``problem`` naming why a page is unusable.
+
+    The fields come out of a one-row ``inline``: a filter on them stays above it, while through a projection the
+    optimizer would push it down and read every page again for the filter.
+    """
     page = F.col("html")
-    read = pages.select(
-        *[c for c in pages.columns if c not in ("html", "url", "sub_cat")],
-        F.col("url").alias("href"),
-        "sub_cat" if "sub_cat" in pages.columns else F.lit(None).cast("string").alias("sub_cat"),
+    read = F.struct(
         html.title(page).alias("name"), html.price(page).alias("price"), html.portion(page).alias("portion"),
         html.ingredients(page).alias("ingredients"), html.nutrients(page).alias("nutrients"),
     )
-    parsed = read.withColumn("values", nutrition.from_map(F.col("nutrients"))).select("*", "values.*").drop("values")
+    kept = [c for c in pages.columns if c not in ("html", "url", "sub_cat")]
+    sub_cat = "sub_cat" if "sub_cat" in pages.columns else F.lit(None).cast("string").alias("sub_cat")
+    fields = pages.select(*kept, F.col("url").alias("href"), sub_cat, F.inline(F.array(read)))
+    parsed = fields.select("*", F.inline(F.array(nutrition.from_map(F.col("nutrients")))))
     return parsed.withColumn(
         "problem",
         F.when(F.col("name").isNull(), "no title").when(F.col("price").isNull(), "no price")

@@ -153,11 +153,11 @@ def shop_partition_prune(spark, folder):
 
 
 @query("resume_anti_join",
-       "select p_partkey, p_brand from part where p_brand not in (select p_brand from part where p_size = 50)")
+       "select p_partkey, p_brand from part where p_brand not in (select p_brand from part where p_retailprice < 901)")
 def resume_anti_join(spark, folder):
-    """Products of the brands that no earlier load (here: parts of size 50) has touched."""
+    """Products of the brands that no earlier load (here: parts below 901) has touched."""
     parts = table(spark, folder, "part")
-    return incremental.remaining(parts, parts.where(F.col("p_size") == 50), "p_brand").select("p_partkey", "p_brand")
+    return incremental.remaining(parts, parts.where(F.col("p_retailprice") < 901), "p_brand").select("p_partkey", "p_brand")
 
 
 @query("group_sizes", "select p_brand as sub_cat, count(*) as n_products from part group by p_brand")
@@ -221,7 +221,7 @@ select p_partkey, round(case when unit0 in ('g', 'ml') then amount / 1000 else a
   case unit0 when 'g' then 'kg' when 'ml' then 'l' else unit0 end as unit from sized_a""", ("raw_a",), CLEAN_A[:1])
 def unit_scale_a(spark, folder):
     rows = cleaning.with_portion(cleaning.with_link(view(spark, folder, "raw_a")))
-    unit = units.canonical_unit(units.unit_word(F.col("portion")))
+    unit = units.unit_word(F.col("portion"))
     amount = units.base_quantity(units.quantity(F.col("portion")), unit, K.BASE_UNITS_TEXT)
     return rows.select("p_partkey", F.round(amount, 6).alias("quantity"), units.base_unit(unit, K.BASE_UNITS_TEXT).alias("unit"))
 

@@ -193,7 +193,7 @@ def dedup_product(spark, folder):
 @query("hash_embed", "select product_id, unnest(range(64)) as place, round(unnest(vector), 6) as value from vectors", ("listing",),
        vectors("listing"))
 def hash_embed(spark, folder):
-    vectors_ = encode(plan.listing_sides(spark, folder).select("product_id", "product_text"))
+    vectors_ = encode(plan.listing_sides(spark, folder).select("product_id", "product_text"), ["product_id"])
     placed = vectors_.select("product_id", F.posexplode("embedding").alias("place", "value"))
     return placed.select("product_id", F.col("place").cast("bigint").alias("place"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
