@@ -28,12 +28,16 @@ def scored_pairs(catalogues: matching.Catalogues, threshold: float | None = K.PA
     return matching.score_pairs(matching.candidate_pairs(catalogues.profiles), threshold)
 
 
-def match(products: DataFrame, **options) -> DataFrame:
+def best_of(catalogues: matching.Catalogues) -> DataFrame:
     """The best match above the threshold for each product of side a."""
-    catalogues = matching.prepare(products, **options)
     return matching.best_matches(scored_pairs(catalogues), catalogues.members)
 
 
+def match(products: DataFrame, **options) -> DataFrame:
+    """From products to best matches; the options are those of ``prepare``."""
+    return best_of(matching.prepare(products, **options))
+
+
 def staged_matches(products: DataFrame, **options) -> DataFrame:
     """The best matches as a written table, for reports that read them more than once."""
     return stage(match(products, **options), "matches")
