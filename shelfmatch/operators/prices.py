@@ -73,9 +73,8 @@ def price_comparison(pairs: DataFrame) -> DataFrame:
     report = _report(with_price_diffs(pairs), columns)
     mean = F.col("mean_rel_diff")
     share = F.format_string("%.1f%%", F.abs(mean) * 100)
-    verdict = F.when(mean > 0, F.concat(F.lit("shop a is "), share, F.lit(" cheaper on average"))).otherwise(
-        F.concat(F.lit("shop b is "), share, F.lit(" cheaper on average"))
-    )
+    cheaper = F.when(mean > 0, "a").when(mean <= 0, "b")  # null without pairs, and so is the sentence
+    verdict = F.concat(F.lit("shop "), cheaper, F.lit(" is "), share, F.lit(" cheaper on average"))
     return report.withColumn("verdict", verdict)
 
 
