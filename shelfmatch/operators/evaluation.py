@@ -36,9 +36,8 @@ def roc_auc(scored: DataFrame) -> DataFrame:
 
 def pr_points(scored: DataFrame) -> DataFrame:
     """One point per distinct score, from the highest down, with the point before it; the first follows (0, 1)."""
-    counts = score_counts(scored)
-    positives = counts.agg(F.sum("positives").alias("p")).scalar()
-    ranked = running_totals(counts, [F.desc("score")], {"found": "positives", "taken": "rows"})
+    ranked = running_totals(score_counts(scored), [F.desc("score")], {"found": "positives", "taken": "rows"})
+    positives = F.col("found_all")
     before, taken_before = F.col("found") - F.col("positives"), F.col("taken") - F.col("rows")
     return ranked.select(
         "score",

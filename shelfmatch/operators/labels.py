@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch import constants as K
 from shelfmatch.operators.ordered import with_position
+from shelfmatch.sources.staging import stage
 
 STRATA = ("high", "middle", "low")
 
@@ -14,10 +15,10 @@ STRATA = ("high", "middle", "low")
 def score_strata(scored: DataFrame, key: list[str]) -> DataFrame:
     """Thirds by position in descending score order (ties by key)."""
     ranked = with_position(scored, [F.desc("score"), *key])
-    n = scored.agg(F.count(F.lit(1)).alias("n")).scalar()
+    n = F.col("position_all")
     third, two_thirds = F.floor(n / 3), F.floor(2 * n / 3)
     stratum = F.when(F.col("position") < third, STRATA[0]).when(F.col("position") < two_thirds, STRATA[1]).otherwise(STRATA[2])
-    return ranked.withColumn("stratum", stratum)
+    return ranked.withColumn("stratum", stratum).drop("position_all")
 
 
 def stratified_sample(scored: DataFrame, key: list[str], draws=K.SAMPLE_DRAWS, seed=K.SAMPLE_SEED) -> DataFrame:
@@ -26,7 +27,7 @@ def stratified_sample(scored: DataFrame, key: list[str], draws=K.SAMPLE_DRAWS, s
     Each draw is a top-k over all partitions, so no stratum is ever gathered.
     """
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed)))
-    strata = score_strata(scored, key).withColumn("draw_hash", F.md5(text.cast("binary")))
+    strata = stage(score_strata(scored, key).withColumn("draw_hash", F.md5(text.cast("binary"))), "strata")  # read per third
     parts = [
         strata.where(F.col("stratum") == name).orderBy("draw_hash", *key).limit(k) for name, k in zip(STRATA, draws)
     ]

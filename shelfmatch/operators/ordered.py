@@ -11,7 +11,8 @@ from shelfmatch.sources.staging import stage
 
 
 def running_totals(df: DataFrame, order: list, totals: dict[str, str], within: tuple = ()) -> DataFrame:
-    """Add inclusive running sums in ``order``: ``{"new column": "column to sum"}``, restarted per ``within`` group.
+    """Add inclusive running sums in ``order``: ``{"new column": "column to sum"}``, restarted per ``within`` group; the
+    whole sum comes as ``<new column>_all``.
 
     ``order`` should tell the rows apart (add a key as the last part): equal rows would share one slice.
     """
@@ -19,17 +20,21 @@ def running_totals(df: DataFrame, order: list, totals: dict[str, str], within: t
     sorting = [*within, *order]
     slices = stage(df.repartitionByRange(n, *sorting).withColumn("slice", F.spark_partition_id()), "slices")
     before = Window.partitionBy(*within).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy(*within)
     sums = slices.groupBy(*within, "slice").agg(*[F.sum(c).alias(f"{name}_slice") for name, c in totals.items()])
     starts = sums.select(
-        *within, "slice", *[F.coalesce(F.sum(f"{name}_slice").over(before), F.lit(0)).alias(f"{name}_start") for name in totals]
+        *within, "slice",
+        *[F.coalesce(F.sum(f"{name}_slice").over(before), F.lit(0)).alias(f"{name}_start") for name in totals],
+        *[F.sum(f"{name}_slice").over(everything).alias(f"{name}_all") for name in totals],
     )
+    if not within:
+        starts = F.broadcast(starts)  # one row per slice, n at most
     inside = Window.partitionBy(*within, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = slices.join(starts, [*within, "slice"])
     added = {name: F.col(f"{name}_start") + F.sum(c).over(inside) for name, c in totals.items()}
-    return joined.withColumns(added).drop("slice", *[f"{name}_start" for name in totals])
+    return slices.join(starts, [*within, "slice"]).withColumns(added).drop("slice", *[f"{name}_start" for name in totals])
 
 
 def with_position(df: DataFrame, order: list, column="position") -> DataFrame:
-    """Dense 0-based position of every row in ``order``."""
+    """Dense 0-based position of every row in ``order``, and the number of rows as ``<column>_all``."""
     counted = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), order, {column: "_one"})
     return counted.withColumn(column, F.col(column) - 1).drop("_one")
