@@ -87,7 +87,7 @@ def _cells(rows: DataFrame, hot: DataFrame, side: str) -> DataFrame:
     repeated along it, so that every pair of the block meets in exactly one cell."""
     own, other = ("cell_a", "cell_b") if side == "a" else ("cell_b", "cell_a")
     parts = {"cell_a": F.coalesce("parts_a", F.lit(1)), "cell_b": F.coalesce("parts_b", F.lit(1))}
-    spread = rows.join(hot, "block_key", "left").withColumn(own, F.pmod(F.xxhash64("product_id"), parts[own]).cast("int"))
+    spread = rows.join(hot, "block_key", "left").withColumn(own, F.pmod(F.xxhash64(F.lit("cell"), "product_id"), parts[own]).cast("int"))
     return spread.withColumn(other, F.explode(F.sequence(F.lit(0), (parts[other] - 1).cast("int")))).drop("parts_a", "parts_b")
 
 
@@ -105,7 +105,7 @@ def candidate_pairs(profiles: DataFrame) -> DataFrame:
     # a fixed number by work: sized by bytes, the narrow rows would land in a few tasks that then make all the pairs
     shuffle = int(profiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = min(max(shuffle, work["pairs"] // TASK_PAIRS, work["rows"] // TASK_ROWS), MAX_TASKS)
-    cell_rows = max(MIN_CELL_ROWS, math.isqrt(work["pairs"] // (4 * tasks)))  # a cell is a quarter of a fair share
+    cell_rows = max(MIN_CELL_ROWS, math.isqrt(work["pairs"] // (16 * tasks)))  # small parts of a fair share
 
     def parts(n):
         return F.ceil(F.col(n) / cell_rows).cast("int")
