@@ -114,9 +114,3 @@ def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     for base in ("part", "documents", "labels"):
         table(spark, folder, base).createOrReplaceTempView(base)
     return spark.sql(VIEWS[name])
-
-
-def with_views(sql: str, *names: str) -> str:
-    """The same views as common table expressions in front of a DuckDB query."""
-    heads = ",\n".join(f"{n} as ({VIEWS[n]})" for n in names)
-    return f"with {heads}{',' if sql.lstrip().startswith(',') else ''}\n{sql.lstrip().lstrip(',')}"
