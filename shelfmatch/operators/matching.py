@@ -56,11 +56,14 @@ def prepare(products: DataFrame, make_encoder=HashedTokens, null_blocks="match")
         F.min("product_id").alias("product_id"), F.count(F.lit(1)).alias("copies")
     )
     kept = members.join(kept.drop("profile_key"), keys)
-    ranked = corpus.ranked_token_lists(kept.select(*keys, "name_only"), broadcast_if_small(vocab, BROADCAST_ROWS), keys)
+    size = vocab.agg(
+        F.count(F.lit(1)).alias("tokens"), F.count_if(F.col("token").contains("_")).alias("with_separator")
+    ).first()
+    known = F.broadcast(vocab) if size["tokens"] <= BROADCAST_ROWS else vocab  # beyond that AQE splits frequent tokens
+    ranked = corpus.ranked_token_lists(kept.select(*keys, "name_only"), known, keys)
     # Two ranked tokens that form a shared pair key share their first token as a single key too, since that token is
     # among the first four on both sides. So singles find every pair, unless a token itself holds the separator.
-    singles_only = vocab.where(F.col("token").contains("_")).isEmpty()
-    blocks = corpus.single_blocks(F.col("ranked")) if singles_only else corpus.name_blocks(F.col("ranked"))
+    blocks = corpus.name_blocks(F.col("ranked")) if size["with_separator"] else corpus.single_blocks(F.col("ranked"))
     block_keys = F.transform(F.array_distinct(blocks), lambda t: corpus.block_key(F.col("own_brand"), t))
     no_keys = F.array(F.lit(corpus.NULL_BLOCK)) if null_blocks == "match" else F.array().cast("array<string>")
     profiles = kept.join(ranked, keys, "left").select(
