@@ -153,11 +153,11 @@ def shop_partition_prune(spark, folder):
 
 
 @query("resume_anti_join",
-       "select p_partkey, p_brand from part where p_brand not in (select p_brand from part where p_retailprice < 901)")
+       "select p_partkey, p_brand from part where p_brand not in (select p_brand from part where p_retailprice < 900.05)")
 def resume_anti_join(spark, folder):
-    """Products of the brands that no earlier load (here: parts below 901) has touched."""
+    """Products of the brands that no earlier load (here: parts below 900.05) has touched."""
     parts = table(spark, folder, "part")
-    return incremental.remaining(parts, parts.where(F.col("p_retailprice") < 901), "p_brand").select("p_partkey", "p_brand")
+    return incremental.remaining(parts, parts.where(F.col("p_retailprice") < 900.05), "p_brand").select("p_partkey", "p_brand")
 
 
 @query("group_sizes", "select p_brand as sub_cat, count(*) as n_products from part group by p_brand")
