@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmatch.llm import bpe, decontaminate, language, lines, quality, sharding, simhash, warc
+from shelfmatch.llm import bpe, cross_entropy, decontaminate, language, lines, nearest, quality, sharding, simhash, warc
 from shelfmatch.llm.common import table
 from shelfmatch.sources.staging import fresh_path
 
@@ -39,6 +39,19 @@ def language_model(docs: DataFrame) -> language.Model:
     return language.learn(docs.where(remainder(5) != 0))
 
 
+@query()
+def op1_ann_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of every row whose ``vec_id`` is divisible by 20, among all rows."""
+    return nearest.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op2_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
+    """Target: the documents labelled as good."""
+    good = table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    return cross_entropy.score_documents(table(spark, folder, "documents"), good)
+
+
 @query()
 def op3_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Eight shards of near equal bytes."""
