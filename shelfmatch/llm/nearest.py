@@ -15,6 +15,7 @@ from shelfmatch.sources.staging import stage
 SAMPLE_ROWS = 20_000  # vectors that the lists are fitted on, those with the least hashes
 ROWS_PER_LIST = 16  # of the sample, at least
 ROUNDS, SEED = 12, 11
+TRIALS = 400  # sampled vectors that choose the number of probed lists
 COLUMNS = 16  # dimensions per block
 ERROR = 2.1  # of the test: the larger, the fewer true neighbours are given up
 SPARE = 12  # candidates kept beyond those asked for, until exact scores decide
@@ -53,8 +54,10 @@ class Lists:
         return np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, axis=1), axis=1, kind="stable"), axis=1)
 
 
-def fit_lists(vectors: DataFrame, rows: int, length: float, dimensions: int) -> Lists:
-    """k-means on a bounded sample; about the square root of the rows as the number of lists, if the sample allows."""
+def fit_lists(vectors: DataFrame, rows: int, length: float, dimensions: int, k: int, recall: float) -> tuple[Lists, int]:
+    """k-means on a bounded sample (about the square root of the rows as the number of lists, if the sample allows),
+    and how many lists to probe: so many that, among the sample, the part ``recall`` of the ``k`` true neighbours of
+    some sampled vectors lies in them."""
     sample = vectors.select("vec", F.xxhash64("vec").alias("h")).orderBy("h").limit(SAMPLE_ROWS).collect()
     random = np.random.default_rng(SEED)
     rotation, _ = np.linalg.qr(random.standard_normal((dimensions + 1, dimensions + 1)))
@@ -68,7 +71,19 @@ def fit_lists(vectors: DataFrame, rows: int, length: float, dimensions: int) ->
         np.add.at(sums, own, points)
         sizes = np.bincount(own, minlength=count)
         lists.centroids = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], lists.centroids)
-    return lists
+    own = lists.order(points, 1)[:, 0]
+    vectors_of = np.array([r.vec for r in sample], float)
+    asked = np.arange(min(TRIALS, len(points)))
+    nearness = vectors_of[asked] @ vectors_of.T
+    nearness[asked, asked] = -np.inf
+    k = min(k, len(points) - 1)
+    if k < 1:
+        return lists, count
+    true = np.argpartition(-nearness, k - 1, axis=1)[:, :k]
+    order = lists.order(lists.rotated(vectors_of[asked], True), count)
+    nth = np.argsort(order, axis=1)  # of each list, for each query
+    needed = np.sort(np.take_along_axis(nth, own[true], axis=1).ravel())
+    return lists, int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))]) + 1
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
@@ -153,7 +168,7 @@ def scan(index: DataFrame, probes: DataFrame, keep: int) -> DataFrame:
 
 
 def search(
-    vectors: DataFrame, is_query: Column, k: int = 20, probe_share: float = 0.25, least_probes: int = 16,
+    vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95,
     vec_id: str = "vec_id", vector: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found, by inner product, of every row for which ``is_query``
@@ -165,7 +180,8 @@ def search(
     fewer than ``k`` others all of them are returned. An empty table gives an empty result.
 
     Equal vectors are one entry of the index, with their ``k + 1`` smallest ids, so a vector that a third of all rows
-    share is one candidate and one query. Probed lists: ``probe_share`` of all, ``least_probes`` at least.
+    share is one candidate and one query. The number of probed lists is
+    chosen on the sample for the stated ``recall`` (see ``fit_lists``).
     """
     spark = vectors.sparkSession
     rows = vectors.select(quoted(vec_id).cast("long").alias("id"), quoted(vector).cast("array<double>").alias("vec"), is_query.alias("asks"))
@@ -184,8 +200,7 @@ def search(
     asked = classes.join(asking.select("id").distinct(), "id", "left_semi")
 
     total = classes.agg(F.count(F.lit(1)), F.max(F.sqrt(dot(F.col("vec"), F.col("vec"))))).first()
-    lists = fit_lists(classes, total[0], total[1] or 1.0, dimensions)
-    probes = min(len(lists.centroids), max(least_probes, round(probe_share * len(lists.centroids))))
+    lists, probes = fit_lists(classes, total[0], total[1], dimensions, k, recall)
     keep = k + 1 + SPARE
     index = stage(place(classes, lists, 1, False).select("list", "id", "rotated"), "index")
     wanted = stage(place(asked, lists, probes, True), "probes")
