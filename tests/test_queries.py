@@ -30,7 +30,7 @@ def shown(rows, order):
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
-@pytest.mark.parametrize("name", sorted(repo.queries()))
+@pytest.mark.parametrize("name", sorted(repo.oracle_sql()))
 def test_query_equals_its_sql(spark, duck, name):
     found = repo.queries()[name](spark, FOLDER)
     result = duck.execute(repo.oracle_sql()[name])
