@@ -55,9 +55,9 @@ def op2_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_shard_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Eight shards of near equal bytes."""
-    found = sharding.shard_documents(table(spark, folder, "documents"))
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    return found.select("doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    found = sharding.shard_documents(table(spark, folder, "documents").withColumn("text_crc32", crc))  # no text is dealt
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 @query("""
