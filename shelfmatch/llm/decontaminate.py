@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.llm.common import quoted
+from shelfmatch.llm.hashing import STEP, mixed, piece_hashes
 
 BITS = 64
 BLOCK_BITS = 16
@@ -19,40 +20,16 @@ BLOCK_SHINGLES = 200_000  # of benchmark items that are sent to the tasks at a t
 PIECE_BYTES = 1 << 20  # of one text that are looked at together
 WINDOWS = 1 << 13  # fingerprinted at a time
 
-_RANDOM = np.random.default_rng(20_240_131)
-_LETTER = _RANDOM.integers(1, 2**63, 256, np.uint64)  # a random number for each byte
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 _IS_WORD = np.array([chr(b).isalnum() or b >= 128 for b in range(128)] + [True] * 128)
 _GAP = re.compile(rb"[^0-9A-Za-z\x80-\xff]")
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Spread 64-bit numbers evenly."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-_INVERSE = np.uint64(pow(int(_STEP), -1, 2**64))
-_POWERS: dict[np.uint64, np.ndarray] = {}
-
-
-def powers(n: int, base: np.uint64) -> np.ndarray:
-    """base**0 to base**(n - 1), modulo 2**64."""
-    if len(_POWERS.get(base, ())) < n:
-        _POWERS[base] = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(2 * n, base, np.uint64))))
-    return _POWERS[base][:n]
-
-
 def word_hashes(data: bytes) -> np.ndarray:
     """A hash per word (a run of letters and digits; bytes of other scripts count as letters) of lower-case UTF-8."""
     raw = np.frombuffer(data, np.uint8)
     inside = _IS_WORD[raw]
     edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=np.int8(0), append=np.int8(0)))
-    starts, ends = edge[::2], edge[1::2]
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_LETTER[raw] * powers(len(raw), _STEP))))
-    back = powers(len(raw) + 1, _INVERSE)
-    return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    return piece_hashes(raw, edge[::2], edge[1::2])
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -62,7 +39,7 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     total = np.zeros(n, np.uint64)
     for i in range(width):
-        total = total * _STEP + words[i:i + n]
+        total = total * STEP + words[i:i + n]
     return mixed(total)
 
 
