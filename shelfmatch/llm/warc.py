@@ -34,17 +34,16 @@ def base32_sha1(data: bytes) -> str:
 
 
 def plan_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """(page_id, url, payload, refers_to): of pages with equal payloads of at least ``least_bytes`` bytes, that with the
-    largest ``page_id`` is the response (null ``refers_to``), the others refer to it. Repeated rows of one ``page_id``
-    are responses each. A page without id is a response.
+    """(page_id, last_by_digest) of the pages (page_id, payload) that repeat a payload of at least ``least_bytes``
+    bytes: for each digest of such a payload, the largest ``page_id`` that has it, if that is another page.
 
-    The largest id per payload comes from partial aggregation over digests; a payload that very many pages share is
-    one row of the join's other side, and skewed partitions of pages are split.
+    No payload is shuffled. The largest id per digest comes from partial aggregation; a payload that very many pages
+    share is one row of the join's other side, and skewed partitions of pages are split.
     """
-    rows = pages.select("page_id", "url", "payload", F.sha2("payload", 256).alias("key"))
-    last = rows.where(F.octet_length("payload") >= least_bytes).groupBy("key").agg(F.max("page_id").alias("last"))
-    refers = F.when(F.col("last") > F.col("page_id"), F.col("last"))
-    return rows.join(last, "key", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
+    rows = pages.where("page_id is not null").where(F.octet_length("payload") >= least_bytes).select("page_id", F.sha2("payload", 256).alias("digest"))
+    shared = rows.groupBy("digest").agg(F.max("page_id").alias("last"), F.min("page_id").alias("first")).where("first < last")
+    repeats = rows.join(shared.select("digest", "last"), "digest").where("page_id < last")
+    return repeats.groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("digest", "last"))).alias("last_by_digest"))
 
 
 def train_dictionary(samples: list[bytes]) -> bytes:
@@ -83,7 +82,9 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, refers_to
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, html: str = "html", page_id: str = "page_id", url: str = "url") -> None:
     """Write the pages as ``.warc.zst`` archives below ``path``: first a skippable frame with the dictionary, then one
-    frame per record.
+    frame per record. Of pages with equal payloads of at least ``least_bytes`` bytes, that with the largest
+    ``page_id`` is a response, the others are revisits of it; all other pages are responses, as are pages without id
+    and repeated rows of the largest one.
 
     A null html is an empty payload; a null ``page_id`` leaves the number out of the record's id; a null url leaves
     out its field. Repeated rows are records each. An empty table gives archives without records.
@@ -113,8 +114,11 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["value"])
 
     archives = max(1, -(-size // archive_bytes))
-    dealt = plan_revisits(source, least_bytes).repartition(archives, F.xxhash64("page_id", "url"))
-    frames = dealt.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
+    deal = F.coalesce("page_id", F.xxhash64("url", "payload")).alias("deal")  # pages without id are spread
+    revisits = plan_revisits(source, least_bytes).withColumnRenamed("page_id", "deal").repartition(archives, "deal")
+    dealt = source.select("*", deal).repartition(archives, "deal").join(revisits, "deal", "left")
+    refers_to = F.when(F.col("page_id").isNotNull(), F.try_element_at("last_by_digest", F.sha2("payload", 256))).alias("refers_to")
+    frames = dealt.select("page_id", "url", "payload", refers_to).mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
     frames.write.option("lineSep", EMPTY_FRAME).option("compression", "none").text(path)
 
 
