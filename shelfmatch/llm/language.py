@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.llm.common import quoted, spare, text_blocks, without
+from shelfmatch.sources.staging import stage
 
 GRAM = 4  # bytes
 LEAST_SHARE = 2e-5  # of a language's n-grams: so a language has at most 50,000 of them in the filter
@@ -121,7 +122,7 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", least_share:
     Rows with null ``lang`` or null text are left out; so is the name ``und``. The driver gets at most ``1 /
     least_share`` n-grams per language, whatever the size of the corpus. Without rows the model has no language.
     """
-    counts = count_grams(docs.where(quoted(lang) != UNKNOWN), lang, text)
+    counts = stage(count_grams(docs.where(quoted(lang) != UNKNOWN), lang, text), "grams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     shares = counts.join(F.broadcast(totals), "lang").withColumn("share", F.col("n") / F.col("total")).where(F.col("share") >= least_share)
     best = shares.groupBy("gram").agg(F.collect_list(F.struct("lang", "share")).alias("langs"))  # one row per language at most

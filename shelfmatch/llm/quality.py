@@ -129,6 +129,7 @@ def learn(rows: DataFrame, label: str, statistic=lambda s: F.col(s), trees: int
     class the model is a constant; without rows the score is 0.5.
     """
     labelled = rows.where(quoted(label).isin(0, 1)).select(quoted(label).cast("double").alias("label"), *[statistic(s).alias(s) for s in STATISTICS])
+    labelled = stage(labelled, "labelled")
     classes = {r.label: r["count"] for r in labelled.groupBy("label").count().collect()}
     if len(classes) < 2:
         return Rules(0.0 if not classes else 10.0 if 1.0 in classes else -10.0, [])
