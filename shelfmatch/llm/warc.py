@@ -87,7 +87,8 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
     and repeated rows of the largest one.
 
     A null html is an empty payload; a null ``page_id`` leaves the number out of the record's id; a null url leaves
-    out its field. Repeated rows are records each. An empty table gives archives without records.
+    out its field. Repeated rows are records each. An empty table gives archives without records. An archive holds
+    about ``archive_bytes`` of payload at most.
 
     Spark's text writer puts the frames into files, so any file system that Spark knows will do and a lost executor's
     half-written file never counts. Its line separator is an empty skippable frame, which every reader passes over.
@@ -113,7 +114,8 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], ["value"])
 
-    archives = max(1, -(-size // archive_bytes))
+    # at least as many as other shuffles have partitions: of fewer, the join would deal its rows once more
+    archives = max(-(-size // archive_bytes), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     deal = F.coalesce("page_id", F.xxhash64("url", "payload")).alias("deal")  # pages without id are spread
     revisits = plan_revisits(source, least_bytes).withColumnRenamed("page_id", "deal").repartition(archives, "deal")
     dealt = source.select("*", deal).repartition(archives, "deal").join(revisits, "deal", "left")
