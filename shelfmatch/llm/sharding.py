@@ -121,7 +121,7 @@ def smallest_capacity(segments: Segments, shards: int) -> int:
 
 def cut_points(segments: Segments, shards: int) -> list[int]:
     """Cuts under the smallest capacity. Among those, each shard ends as near to an even share of the rest as the
-    capacity and what must still fit behind allow, so that one group above the mean does not leave shards empty."""
+    capacity and what must still fit behind allow; a greedy pass alone would leave the last shard what remains."""
     capacity = smallest_capacity(segments, shards)
     while True:
         open_: set[int] = set()
@@ -156,7 +156,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", te
     """Put every row into one of ``shards`` shards of near equal bytes (UTF-8 size of the text plus one); rows of equal
     text stay in one shard. Adds ``size``, ``shard`` and ``slot`` (from 0 without gaps in each shard).
 
-    Groups of equal texts are ordered by a hash of the text and never split. A null text counts as an empty one.
+    Groups of equal texts are never split. Those above the mean size of what is left come first, in a shard each; the
+    others follow in the order of a hash of the text and are cut under the smallest capacity. A null text counts as an
+    empty one.
     Repeated rows and rows without a ``doc_id`` each get a slot of their own. Columns named like those added are
     replaced. An empty table gives an empty result.
 
@@ -168,11 +170,14 @@ def shard_documents(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", te
     place = position(quoted(text))
     groups = stage(docs.groupBy(place.alias("position")).agg(F.sum(text_size(quoted(text))).alias("size")), "groups")
     rows = docs.count()
-    segments = Segments(groups, FIRST_BITS, MOST_SEGMENTS)
-    starts = first_positions(segments, cut_points(segments, shards)) if segments.total else []
+    giants = groups_above_mean(groups, shards)
+    segments = Segments(groups.where(~F.col("position").isin(giants)) if giants else groups, FIRST_BITS, MOST_SEGMENTS)
+    starts = first_positions(segments, cut_points(segments, shards - len(giants))) if segments.total else []
 
     p, bucket, before = spare(docs, "position", "bucket", "before")
-    shard = sum([(F.col(p) >= F.lit(s)).cast("int") for s in starts], F.lit(0))
+    shard = sum([(F.col(p) >= F.lit(s)).cast("int") for s in starts], F.lit(len(giants)))
+    for i, giant in enumerate(giants):
+        shard = F.when(F.col(p) == F.lit(giant), F.lit(i)).otherwise(shard)
     buckets = max(1, rows // (SLOT_ROWS * shards))
     placed = docs.withColumn(p, place).withColumn("size", text_size(quoted(text))).withColumn("shard", shard)
     placed = placed.withColumn(bucket, F.pmod(F.xxhash64(quoted(doc_id), F.col(p)), F.lit(buckets)))
@@ -185,6 +190,19 @@ def shard_documents(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", te
     return joined.select(*[quoted(c) for c in docs.columns], "size", "shard", (F.col(before) + F.col("slot")).alias("slot"))
 
 
+def groups_above_mean(groups: DataFrame, shards: int) -> list[int]:
+    """Positions of the groups that fill a shard of their own: largest first, while a group is above the mean of what
+    is left. There are fewer than ``shards``, so as many rows are enough to look at."""
+    total = groups.agg(F.sum("size")).first()[0] or 0
+    found = []
+    for row in groups.orderBy(F.desc("size"), "position").limit(shards - 1).collect():
+        if row["size"] * (shards - len(found)) <= total:
+            break
+        found.append(row["position"])
+        total -= row["size"]
+    return found
+
+
 def first_positions(segments: Segments, cuts: list[int]) -> list[int]:
     """The position at which each shard after the first begins; beyond all positions if it is empty."""
     beyond = 1 << POSITION_BITS

@@ -195,8 +195,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, doc_id:
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row with the smallest ``doc_id`` of each component, with all its columns. Rows without a ``doc_id`` stay only
-    where their whole component has none."""
+    """The document with the smallest ``doc_id`` of each component, with all its columns; rows that repeat this
+    ``doc_id`` are that document and stay. Rows without a ``doc_id`` stay only where their whole component has none."""
     found = near_duplicates(docs, words, distance, doc_id, text)
     gone = found.where("not (doc_id <=> component_id)").select("doc_id").distinct()
     key, = spare(docs, "gone_id")
