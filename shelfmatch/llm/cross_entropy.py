@@ -16,7 +16,6 @@ VOCABULARY = 1024  # tokens, with <unk> and the start of a text
 LONGEST_TOKEN = 40  # characters; longer ones are <unk>, so the vocabulary has a bounded size
 PRIOR = 50.0  # how many tokens after a context the unigram model is worth
 BATCH_WORDS = 200_000  # distinct words a task holds before it passes their counts on
-BROADCAST_ROWS = 1_000_000  # ids of 8 bytes
 UNKNOWN, START = 0, 1
 
 _TOKEN = re.compile(r"\w+|[^\w\s]")
@@ -116,7 +115,7 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, vocabulary_size: int
     """
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
     ids = target_ids.toDF("target_id").where("target_id is not null").distinct()
-    ids = broadcast_if_small(stage(ids, "targets"), BROADCAST_ROWS).withColumn("target", F.lit(True))
+    ids = broadcast_if_small(stage(ids, "targets")).withColumn("target", F.lit(True))
     vocabulary = learn_vocabulary(rows, "text", vocabulary_size)
     marked = rows.join(ids, rows.doc_id == ids.target_id, "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     table = losses(count_pairs(marked, vocabulary, vocabulary_size)).reshape(2, -1)
