@@ -27,8 +27,8 @@ UNIT_SYNONYMS = {
 BASE_UNITS_TEXT = {"g": ("kg", 1000), "ml": ("l", 1000)}
 BASE_UNITS_FIELDS = {"g": ("kg", 1000), "ml": ("l", 1000), "cl": ("l", 100)}
 
-# Divisor to the base unit inside a multipack text such as "6 x 330 ml"; other units count 1.
-MULTIPACK_DIVISORS = {"ml": 1000, "cl": 100, "l": 1, "liter": 1, "g": 1000, "gram": 1000, "gr": 1000, "kg": 1}
+# Factor to the base unit inside a multipack text such as "6 x 330 ml"; other units count 1.
+MULTIPACK_FACTORS = {"ml": 1 / 1000, "cl": 1 / 100, "l": 1.0, "liter": 1.0, "g": 1 / 1000, "gram": 1 / 1000, "gr": 1 / 1000, "kg": 1.0}
 
 # Size patterns. (?U) makes \s and \d cover the same Unicode classes as in a Python pattern.
 NUMBER = r"\d+(?:[.,]\d+)?"
@@ -38,7 +38,7 @@ STRICT_SIZE_PATTERN = rf"(?U)({NUMBER})\s*({UNIT_WORDS})(?!\w)"
 TRAILING_SIZE_PATTERN = rf"(?iU)\s*(?:{NUMBER}\s*(?:{UNIT_WORDS})|\d+\s*-?\s*pack)\s*$"
 MULTIPACK_PATTERN = rf"(?U)(\d+)\s*x\s*({NUMBER})\s*([a-zA-Z]+)"
 
-# Nutrient labels in a backslash-separated nutrient text -> column.
+# Nutrient labels in a backslash-separated nutrient text -> column. The order is that of the output columns.
 NUTRIENT_LABELS = {
     "Koolhydraten": "carbs_g",
     "Vet": "fat_g",

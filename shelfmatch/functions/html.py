@@ -18,14 +18,20 @@ def plain(fragment: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
+def joined(fragment: Column) -> Column:
+    """Text of a markup fragment with each piece between tags trimmed and no blank put between them."""
+    return plain(F.regexp_replace(F.replace(fragment, F.lit("&nbsp;"), F.lit(" ")), r"(?sU)\s*<[^>]*>\s*", ""))
+
+
 def _open(tag: str, css: str) -> str:
     return rf'<{tag}\b[^>]*\bclass="(?:[^"]*\s)?{css}(?:\s[^"]*)?"[^>]*>'
 
 
 def element(html: Column, tag: str, css: str | None = None) -> Column:
     """Inner markup of the first such element that holds none of its own kind; null if there is none."""
-    start = _open(tag, css) if css else rf"<{tag}\b[^>]*>"
-    return F.when(html.rlike(f"(?s){start}"), F.regexp_extract(html, f"(?s){start}(.*?)</{tag}>", 1))
+    pattern = f"(?s){_open(tag, css) if css else rf'<{tag}\b[^>]*>'}(.*?)</{tag}>"
+    whole = F.regexp_extract(html, pattern, 0)  # one search of the page; what it finds is read again, not the page
+    return let(whole, lambda found: F.when(found != "", F.regexp_extract(found, pattern, 1)))
 
 
 def anchors(html: Column, css: str | None = None) -> Column:
@@ -61,18 +67,23 @@ def absolute(base: Column, href: Column) -> Column:
 
 
 def price(html: Column) -> Column:
-    """Euros and cents from two spans; a page with one span shows cents only."""
-    large = plain(element(html, "span", "price-large"))
-    small = plain(element(html, "span", "price-small"))
-    return (
-        F.when(small.isNotNull(), F.concat(large, F.lit("."), small))
-        .otherwise(F.concat(F.lit("0."), F.lpad(large, 2, "0")))
-        .try_cast("double")
-    )
+    """Euros and cents from two spans of the first price box; a box with one span shows cents only. Prices of other
+    products further down the page do not count."""
+
+    def read(box):
+        large = plain(element(box, "span", "price-large"))
+        return let(plain(element(box, "span", "price-small")), lambda small: (
+            F.when(small.isNotNull(), F.concat(large, F.lit("."), small))
+            .otherwise(F.concat(F.lit("0."), F.lpad(large, 2, "0")))
+            .try_cast("double")
+        ))
+
+    return let(element(html, "div", "price"), read)
 
 
-def title(html: Column) -> Column:
-    return plain(element(html, "h1"))
+def title(html: Column, box: str | None = None) -> Column:
+    """The first heading; only inside the first element of class ``box``, if given."""
+    return plain(element(element(html, "div", box) if box else html, "h1"))
 
 
 def portion(html: Column) -> Column:
@@ -85,7 +96,7 @@ def ingredients(html: Column) -> Column:
     section = F.get(F.filter(F.split(html, "</article>"), lambda part: part.rlike(heading)), F.lit(0))
     after = F.get(F.split(section, heading, 2), F.lit(1))
     body = F.get(F.split(after, _open("div", "body"), 2), F.lit(1))
-    return F.regexp_replace(text_or_null(plain(element(body, "p"))), K.INGREDIENTS_PREFIX, "")
+    return F.regexp_replace(text_or_null(joined(element(body, "p"))), K.INGREDIENTS_PREFIX, "")
 
 
 def nutrients(html: Column) -> Column:

@@ -50,5 +50,4 @@ def multipack_quantity(portion: Column) -> Column:
     count = text_or_null(F.regexp_extract(portion, K.MULTIPACK_PATTERN, 1)).try_cast("double")
     size = decimal_comma(F.regexp_extract(portion, K.MULTIPACK_PATTERN, 2))
     unit = F.lower(F.regexp_extract(portion, K.MULTIPACK_PATTERN, 3))
-    factors = {u: 1 / divisor for u, divisor in K.MULTIPACK_DIVISORS.items()}
-    return count * size * lookup(unit, factors, F.lit(1.0))
+    return count * size * lookup(unit, K.MULTIPACK_FACTORS, F.lit(1.0))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch import constants as K
 from shelfmatch.functions import text
+from shelfmatch.sources.staging import broadcast_if_small, stage
 
 NULL_BLOCK = ""  # block of the products without any block token; no real key is empty
 
@@ -84,6 +85,25 @@ def with_block_tokens(products: DataFrame, vocab: DataFrame, keys=("product_id",
     return products.join(ranked, list(keys), "left").withColumn("block_tokens", name_blocks(F.col("ranked")))
 
 
+def matching_blocks(ranked: DataFrame, vocab: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, blocks): the block tokens of each product that are enough to find every pair.
+
+    Two ranked tokens that form a shared pair key share their first token as a single key too, since that token is
+    among the first four on both sides. Other pair keys matter only where a token itself holds the separator: those
+    equal to such a token, and those with several separators. Only the products that have one of these get it.
+    """
+    singles = single_blocks(F.col("ranked"))
+    separated = stage(vocab.where(F.col("token").contains("_")).select("token"), "separated")
+    if separated.isEmpty():
+        return ranked.select(*keys, singles.alias("blocks"))
+    listed = ranked.select(*keys, F.explode(pair_blocks(F.col("ranked"))).alias("token"))
+    several = F.col("token").rlike("_.*_")
+    equal = listed.where(~several).join(broadcast_if_small(separated), "token", "left_semi").select(*keys, "token")
+    extra = listed.where(several).union(equal).groupBy(*keys).agg(F.collect_set("token").alias("extra"))
+    blocks = F.concat(singles, F.coalesce("extra", F.array().cast("array<string>")))
+    return ranked.join(extra, keys, "left").select(*keys, blocks.alias("blocks"))
+
+
 def explode_blocks(blocked: DataFrame) -> DataFrame:
     """One row per product and block key; a product without tokens keeps one row with a null key."""
     exploded = blocked.select("*", F.explode_outer("block_tokens").alias("block_token"))

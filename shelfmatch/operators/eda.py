@@ -30,16 +30,16 @@ def price_stats(products: DataFrame) -> DataFrame:
     counts = products.where(F.col("price").isNotNull()).groupBy("shop", "price").agg(F.count(F.lit(1)).alias("rows"))
     ranked = running_totals(counts, ["price"], {"upto": "rows"}, within=("shop",))
     means = products.groupBy("shop").agg(
-        F.count(F.lit(1)).alias("n_products"), F.count("price").alias("n"), F.avg("price").alias("mean_price")
+        F.count(F.lit(1)).alias("n_products"), F.avg("price").alias("mean_price")
     )
-    first, second = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)  # 0-based middle positions
+    first, second = F.floor((F.col("upto_all") - 1) / 2), F.floor(F.col("upto_all") / 2)  # 0-based middle positions
 
     def holds(position):
         return (F.col("upto") - F.col("rows") <= position) & (position < F.col("upto"))
 
-    middle = ranked.join(means, "shop").where(holds(first) | holds(second))
+    middle = ranked.where(holds(first) | holds(second))  # two rows per shop at most
     median = (F.max(F.when(holds(first), F.col("price"))) + F.max(F.when(holds(second), F.col("price")))) / 2
-    return middle.groupBy("shop", "n_products", "mean_price").agg(median.alias("median_price"))
+    return middle.groupBy("shop").agg(median.alias("median_price")).join(means, "shop")
 
 
 def price_density(products: DataFrame, points=200, cut=3.0) -> DataFrame:

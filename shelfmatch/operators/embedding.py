@@ -44,16 +44,9 @@ class HashedTokens:
         return np.divide(counts, norms, out=np.zeros_like(counts), where=norms > 0).astype(np.float32)
 
 
-def encode(
-    products: DataFrame, key: list[str], column="product_text", make_encoder: Callable[[], Encoder] = HashedTokens
-) -> DataFrame:
+def encode(products: DataFrame, column="product_text", make_encoder: Callable[[], Encoder] = HashedTokens) -> DataFrame:
     """Add ``embedding``. ``make_encoder`` runs once per Python worker task, so a model is loaded once, not per batch.
-
-    A source with fewer splits than cores is spread by ``key`` first; a large one is encoded as it is scanned.
-    """
-    cores = products.sparkSession.sparkContext.defaultParallelism
-    if products.rdd.getNumPartitions() < cores:
-        products = products.repartition(cores, *key)
+    Rows are encoded where they are; a caller with few large splits and a slow model repartitions before."""
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -29,15 +29,14 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     counts = score_counts(scored).withColumn("negatives", F.col("rows") - F.col("positives"))
     ranked = running_totals(counts, ["score"], {"negatives_upto": "negatives"})
     below = F.col("negatives_upto") - F.col("negatives") / 2
-    return ranked.agg(
-        (F.sum(F.col("positives") * below) / F.nullif(F.sum("positives") * F.sum("negatives"), F.lit(0))).alias("roc_auc")
-    )
+    positives, all_pairs = F.col("positives").cast("double"), F.sum("positives").cast("double") * F.sum("negatives")
+    return ranked.agg((F.sum(positives * below) / F.nullif(all_pairs, F.lit(0.0))).alias("roc_auc"))
 
 
 def pr_points(scored: DataFrame) -> DataFrame:
     """One point per distinct score, from the highest down, with the point before it; the first follows (0, 1)."""
     ranked = running_totals(score_counts(scored), [F.desc("score")], {"found": "positives", "taken": "rows"})
-    positives = F.col("found_all")
+    positives = F.nullif(F.col("found_all"), F.lit(0))  # without any the recall is unknown
     before, taken_before = F.col("found") - F.col("positives"), F.col("taken") - F.col("rows")
     return ranked.select(
         "score",
@@ -106,8 +105,8 @@ def sweep_tail(sweep: DataFrame, rows=40) -> DataFrame:
 
 
 def confusion_at(scored: DataFrame, threshold: float) -> DataFrame:
-    """Counts and metrics of ``score >= threshold`` in one pass."""
-    hit, positive = F.col("score") >= F.lit(threshold), F.col("label") == 1
+    """Counts and metrics of ``score >= threshold`` in one pass; an unknown score is no hit."""
+    hit, positive = F.coalesce(F.col("score") >= F.lit(threshold), F.lit(False)), F.col("label") == 1
     counts = labelled(scored).agg(
         F.count_if(hit & positive).alias("tp"), F.count_if(hit & ~positive).alias("fp"), F.count_if(~hit & positive).alias("fn")
     )

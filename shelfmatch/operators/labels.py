@@ -40,11 +40,12 @@ def attach_labels(pairs: DataFrame, labels: DataFrame, key: list[str]) -> DataFr
 
 
 def upsert_labels(labels: DataFrame, updates: DataFrame, key: list[str]) -> DataFrame:
-    """The latest label per pair. ``updates`` carry an increasing ``version`` >= 1; partial maxima before the shuffle."""
+    """The latest label per pair. ``updates`` carry an increasing ``version`` >= 1; of equal versions the greater row
+    wins. Partial maxima before the shuffle."""
     both = labels.withColumn("version", F.lit(0).cast("bigint")).unionByName(updates.select(*labels.columns, "version"))
     others = [c for c in labels.columns if c not in key]
-    latest = both.groupBy(*key).agg(*[F.max_by(c, "version").alias(c) for c in others])
-    return latest.select(*labels.columns)
+    latest = both.groupBy(*key).agg(F.max(F.struct("version", *others)).alias("latest"))
+    return latest.select(*[c if c in key else F.col(f"latest.{c}") for c in labels.columns])
 
 
 def review_rows(sample: DataFrame, pairs: DataFrame, key: list[str]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Blocked matching of two catalogues.
 
-Pairs are never written before they are scored. Copies are collapsed to profiles, key rows of both sides meet in
-cells sized by the work, and the exact score ceiling drops a pair inside the join stage, below the Python UDF. Only
-pairs above the threshold reach another shuffle.
+Copies are collapsed to profiles and each profile is encoded once. Pairs are found on narrow rows (ids, hashed keys and
+a few numbers) in cells sized by the work; the exact score ceiling drops a pair there. Names and vectors are fetched for
+the pairs that are left, and only pairs above the threshold reach another shuffle.
 """
 
 import math
@@ -13,15 +13,15 @@ from pyspark.sql import functions as F
 
 from shelfmatch import constants as K
 from shelfmatch.functions import similarity, text
-from shelfmatch.operators import corpus
+from shelfmatch.operators import cleaning, corpus
 from shelfmatch.operators.embedding import HashedTokens, encode
 from shelfmatch.sources.staging import broadcast_if_small, stage
 
 MIN_CELL_ROWS = 50  # rows of one side in the smallest join cells
 TASK_PAIRS = 2_000_000  # pairs one join task should look at
 TASK_ROWS = 500_000  # rows one join task should hold
-MAX_TASKS = 100_000
-BROADCAST_ROWS = 200_000  # narrow rows (a key and a few numbers), some 20 MB
+CELLS_PER_TASK = 4
+SLACK = 1e-6  # stored float vectors have length one only up to rounding
 
 PROFILE_FIELDS = ("name_only", "own_brand", "quantity", "price", "product_text")
 
@@ -41,48 +41,43 @@ def profile_key():
 
 
 def prepare(products: DataFrame, make_encoder=HashedTokens, null_blocks="match") -> Catalogues:
-    """Encode the products, collapse copies to profiles and give each profile its block keys.
+    """Collapse copies to profiles, encode each profile once and give it its block keys.
 
-    ``products``: side ('a' or 'b'), product_id, href, name_only, own_brand, quantity, price, product_text. The texts
-    are read once and never shuffled; all that follows reads the columns it needs of the staged members.
+    ``products``: side ('a' or 'b'), product_id, href, name_only, own_brand, quantity, price, product_text.
     ``null_blocks='match'`` lets all products without block tokens meet, ``'drop'`` leaves them out.
     """
+    cleaning.require(products, "side", "product_id", "href", *PROFILE_FIELDS)
     keys = ["side", "product_id"]
-    encoded = encode(products.withColumn("profile_key", profile_key()), keys, "product_text", make_encoder)
-    members = stage(encoded.drop("product_text"), "members")
+    members = stage(products.withColumn("profile_key", profile_key()), "members")
     vocab = stage(corpus.vocabulary(members), "vocabulary")
     # grouped are keys and ids only, as partial minima and counts, so a profile with very many copies is no hot group
-    kept = members.groupBy("side", "profile_key").agg(
+    firsts = members.groupBy("side", "profile_key").agg(
         F.min("product_id").alias("product_id"), F.count(F.lit(1)).alias("copies")
     )
-    kept = members.join(kept.drop("profile_key"), keys)
-    size = vocab.agg(
-        F.count(F.lit(1)).alias("tokens"), F.count_if(F.col("token").contains("_")).alias("with_separator")
-    ).first()
-    known = F.broadcast(vocab) if size["tokens"] <= BROADCAST_ROWS else vocab  # beyond that AQE splits frequent tokens
-    ranked = corpus.ranked_token_lists(kept.select(*keys, "name_only"), known, keys)
-    # Two ranked tokens that form a shared pair key share their first token as a single key too, since that token is
-    # among the first four on both sides. So singles find every pair, unless a token itself holds the separator.
-    blocks = corpus.name_blocks(F.col("ranked")) if size["with_separator"] else corpus.single_blocks(F.col("ranked"))
-    block_keys = F.transform(F.array_distinct(blocks), lambda t: corpus.block_key(F.col("own_brand"), t))
+    kept = stage(members.join(firsts.drop("profile_key"), keys).drop("href"), "kept")
+    ranked = corpus.ranked_token_lists(kept.select(*keys, "name_only"), broadcast_if_small(vocab), keys)
+    blocks = corpus.matching_blocks(ranked, vocab, keys)
+    block_keys = F.transform(F.array_distinct("blocks"), lambda t: corpus.block_key(F.col("own_brand"), t))
     no_keys = F.array(F.lit(corpus.NULL_BLOCK)) if null_blocks == "match" else F.array().cast("array<string>")
-    profiles = kept.join(ranked, keys, "left").select(
+    encoded = encode(kept, "product_text", make_encoder)
+    profiles = encoded.join(blocks, keys, "left").select(
         *keys, "profile_key", "copies", "name_only", "own_brand", "quantity", "price", "embedding",
         F.array_distinct(text.tokens(F.col("name_only"))).alias("name_tokens"),
         text.sorted_words(F.col("name_only")).alias("sorted_name"),
-        F.when(F.size("ranked") > 0, block_keys).otherwise(no_keys).alias("keys"),
+        F.when(F.size("blocks") > 0, block_keys).otherwise(no_keys).alias("keys"),
     )
     return Catalogues(members, stage(profiles, "profiles"), vocab)
 
 
 def block_sizes(exploded: DataFrame) -> DataFrame:
-    """(block_key, n_a, n_b, n_pairs) for blocks with rows on both sides: all candidate rows, counted, not listed."""
+    """(block_key, n_a, n_b, n_pairs) for blocks with rows on both sides: all candidate rows, counted, not listed. The
+    product is a double, as that of two long counts need not be a long."""
 
     def rows(side):
         return F.sum(F.when(F.col("side") == side, F.col("copies")).otherwise(0))
 
     sizes = exploded.groupBy("block_key").agg(rows("a").alias("n_a"), rows("b").alias("n_b"))
-    return sizes.where((F.col("n_a") > 0) & (F.col("n_b") > 0)).withColumn("n_pairs", F.col("n_a") * F.col("n_b"))
+    return sizes.where((F.col("n_a") > 0) & (F.col("n_b") > 0)).withColumn("n_pairs", F.col("n_a").cast("double") * F.col("n_b"))
 
 
 def _cells(rows: DataFrame, hot: DataFrame, side: str) -> DataFrame:
@@ -94,28 +89,52 @@ def _cells(rows: DataFrame, hot: DataFrame, side: str) -> DataFrame:
     return spread.withColumn(other, F.explode(F.sequence(F.lit(0), (parts[other] - 1).cast("int")))).drop("parts_a", "parts_b")
 
 
-def candidate_pairs(profiles: DataFrame) -> DataFrame:
-    """Every pair of profiles that shares a block key, once, with the columns of both sides (suffix _a and _b).
+def _total(embedding, fuzz, jacc):
+    return similarity.weighted_score(embedding, fuzz, jacc, F.col("quantity_score"), F.col("price_score"))
 
-    A pair that meets in several blocks is kept in the first of its shared keys only, which needs no ``distinct``.
+
+def _fuzz_ceiling():
+    return similarity.fuzz_ceiling(F.col("name_length_a"), F.col("name_length_b"))
+
+
+def _with_number_scores(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumns({
+        "quantity_score": similarity.quantity_similarity(F.col("quantity_a"), F.col("quantity_b")),
+        "price_score": similarity.price_similarity(F.col("price_a"), F.col("price_b")),
+    })
+
+
+def candidate_pairs(profiles: DataFrame, threshold: float | None = None) -> DataFrame:
+    """(product_id, quantity, price, name_length, n_tokens of both sides, suffix _a and _b; quantity_score, price_score)
+    of every pair of profiles that shares a block key, once; with a threshold, of those that can still pass it.
+
+    Only ids, numbers and 128-bit hashes of the keys are exploded, repeated along the grid and shuffled. A pair that
+    meets in several blocks is kept in the first of its shared keys only, which needs no ``distinct``. The ceiling
+    takes the cosine as one, the names as alike as their lengths allow and the token sets as nested, so it is exact.
     """
-    rows = profiles.withColumn("block_key", F.explode("keys"))
+    if threshold is not None:  # without these two there is no score
+        profiles = profiles.where("quantity is not null and price is not null")
+    hashed = F.transform("keys", lambda k: F.struct(F.xxhash64(k).alias("h"), F.xxhash64(F.lit(1), k).alias("g")))
+    narrow = profiles.select(
+        "side", "product_id", "quantity", "price", F.length("sorted_name").alias("name_length"),
+        F.size("name_tokens").alias("n_tokens"), hashed.alias("keys"),
+    )
+    rows = narrow.withColumn("block_key", F.explode("keys"))
     # one narrow row per block; staged, as the work is measured before the join is laid out
     sizes = stage(block_sizes(rows.select("side", "block_key", F.lit(1).alias("copies"))), "block-sizes")
-    work = sizes.agg(
-        F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum(F.col("n_a") + F.col("n_b")), F.lit(0)).alias("rows")
-    ).first()
+    work = sizes.agg(F.sum("n_pairs").alias("pairs"), F.sum(F.col("n_a") + F.col("n_b")).alias("rows")).first()
+    pairs, size = int(work["pairs"] or 0), work["rows"] or 0
     # a fixed number by work: sized by bytes, the narrow rows would land in a few tasks that then make all the pairs
     shuffle = int(profiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(max(shuffle, work["pairs"] // TASK_PAIRS, work["rows"] // TASK_ROWS), MAX_TASKS)
-    cell_rows = max(MIN_CELL_ROWS, math.isqrt(work["pairs"] // (16 * tasks)))  # small parts of a fair share
+    tasks = max(shuffle, pairs // TASK_PAIRS, size // TASK_ROWS)
+    cell_rows = max(MIN_CELL_ROWS, math.isqrt(pairs // (CELLS_PER_TASK * tasks)))  # small parts of a fair share
 
     def parts(n):
         return F.ceil(F.col(n) / cell_rows).cast("int")
 
     is_hot = (F.col("n_a") > cell_rows) | (F.col("n_b") > cell_rows)
     hot = sizes.where(is_hot).select("block_key", parts("n_a").alias("parts_a"), parts("n_b").alias("parts_b"))
-    hot = broadcast_if_small(hot, BROADCAST_ROWS)  # beyond that a shuffle join, whose skewed side AQE splits
+    hot = broadcast_if_small(stage(hot, "hot-blocks"))  # beyond that a shuffle join, whose skewed side AQE splits
     cell = ["block_key", "cell_a", "cell_b"]
 
     def placed(side):
@@ -125,37 +144,42 @@ def candidate_pairs(profiles: DataFrame) -> DataFrame:
 
     met = placed("a").hint("merge").join(placed("b"), cell)
     first_shared = F.array_min(F.array_intersect("keys_a", "keys_b"))
-    return met.where(F.col("block_key") == first_shared).drop("keys_a", "keys_b", "cell_a", "cell_b")
+    met = _with_number_scores(met.where(F.col("block_key") == first_shared).drop("keys_a", "keys_b", *cell))
+    if threshold is None:
+        return met
+    most = F.greatest("n_tokens_a", "n_tokens_b")
+    nested = F.when(most > 0, F.least("n_tokens_a", "n_tokens_b") / most).otherwise(F.lit(0.0))
+    return met.where(_total(F.lit(1.0), _fuzz_ceiling(), nested) > threshold - SLACK)
+
 
+def with_profiles(pairs: DataFrame, profiles: DataFrame, *columns: str) -> DataFrame:
+    """The pairs with more columns of both profiles, fetched by id; a profile in very many pairs is split by the skew
+    join, as the other side has one row per id."""
+    for side in ("a", "b"):
+        own = profiles.where(F.col("side") == side).select("product_id", *columns)
+        pairs = pairs.join(own.withColumnsRenamed({c: f"{c}_{side}" for c in own.columns}), f"product_id_{side}")
+    return pairs
 
-def score_pairs(pairs: DataFrame, threshold: float | None = K.PAIR_THRESHOLD) -> DataFrame:
-    """Five similarities and the weighted score; with a threshold only the pairs above it.
+
+def score_pairs(pairs: DataFrame, profiles: DataFrame, threshold: float | None = K.PAIR_THRESHOLD) -> DataFrame:
+    """Five similarities and the weighted score of candidate pairs; with a threshold only the pairs above it.
 
     The ceiling of the score is exact, so a pair it drops could not have passed: first without the vectors (a cosine
     is at most one), then with the cosine, and only the rest is compared character by character.
     """
-    jacc = similarity.jaccard(F.col("name_tokens_a"), F.col("name_tokens_b"))
-    ceiling = similarity.fuzz_ceiling(F.length("sorted_name_a"), F.length("sorted_name_b"))
-    parts = pairs.withColumns({
-        "name_jacc_score": jacc,
-        "quantity_score": similarity.quantity_similarity(F.col("quantity_a"), F.col("quantity_b")),
-        "price_score": similarity.price_similarity(F.col("price_a"), F.col("price_b")),
-        "fuzz_ceiling": ceiling,
-    })
-
-    def total(embedding, fuzz):
-        return similarity.weighted_score(embedding, fuzz, *(F.col(c) for c in ("name_jacc_score", "quantity_score", "price_score")))
-
-    slack = 1e-6  # stored float vectors have length one only up to rounding
+    parts = with_profiles(pairs, profiles, "profile_key", "copies", "name_only", "own_brand", "name_tokens", "sorted_name", "embedding")
+    parts = parts.withColumn("name_jacc_score", similarity.jaccard(F.col("name_tokens_a"), F.col("name_tokens_b")))
+    jacc = F.col("name_jacc_score")
     if threshold is not None:
-        parts = parts.where(total(F.lit(1.0), F.col("fuzz_ceiling")) > threshold - slack)
+        parts = parts.where(_total(F.lit(1.0), _fuzz_ceiling(), jacc) > threshold - SLACK)
     parts = parts.withColumn("embedding_score", similarity.dot_product(F.col("embedding_a"), F.col("embedding_b")))
     if threshold is not None:
-        parts = parts.where(total(F.col("embedding_score"), F.col("fuzz_ceiling")) > threshold - slack)
-    parts = parts.drop("embedding_a", "embedding_b", "name_tokens_a", "name_tokens_b", "fuzz_ceiling")
+        parts = parts.where(_total(F.col("embedding_score"), _fuzz_ceiling(), jacc) > threshold - SLACK)
+    parts = parts.drop("embedding_a", "embedding_b", "name_tokens_a", "name_tokens_b")
     scored = parts.withColumn("name_fuzz_score", similarity.fuzz_ratio(F.col("sorted_name_a"), F.col("sorted_name_b")))
-    scored = scored.withColumn("score", total(F.col("embedding_score"), F.col("name_fuzz_score")))
-    scored = scored.drop("sorted_name_a", "sorted_name_b")
+    scored = scored.withColumn("score", _total(F.col("embedding_score"), F.col("name_fuzz_score"), jacc))
+    gone = [f"{c}_{side}" for c in ("sorted_name", "name_length", "n_tokens") for side in "ab"]
+    scored = scored.drop(*gone)
     return scored if threshold is None else scored.where(F.col("score") > threshold)
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfmatch.sources.staging import stage
 
+SLICE_ROWS = 500_000
+
 
 def running_totals(df: DataFrame, order: list, totals: dict[str, str], within: tuple = ()) -> DataFrame:
     """Add inclusive running sums in ``order``: ``{"new column": "column to sum"}``, restarted per ``within`` group; the
@@ -16,7 +18,8 @@ def running_totals(df: DataFrame, order: list, totals: dict[str, str], within: t
 
     ``order`` should tell the rows apart (add a key as the last part): equal rows would share one slice.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df = stage(df, "unordered")  # read to count, to find the bounds of the slices and to fill them
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.count() // SLICE_ROWS)
     sorting = [*within, *order]
     slices = stage(df.repartitionByRange(n, *sorting).withColumn("slice", F.spark_partition_id()), "slices")
     before = Window.partitionBy(*within).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

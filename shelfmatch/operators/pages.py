@@ -25,7 +25,7 @@ def with_absolute(rows: DataFrame, base="url", column="href") -> DataFrame:
 def category_tree(pages: DataFrame, start: str) -> DataFrame:
     """(cat, sub_cat, product) of a stored site: departments on the start page, their sub-categories on the category
     pages, products on the sub-category pages. Pages are looked up by joins on their address."""
-    pages = pages.select("url", "html")
+    pages = pages.groupBy("url").agg(F.max("html").alias("html"))  # a page may have been stored twice
     home = pages.where(F.col("url") == start)
     cats = without_excluded(links(home, "department")).select(F.col("href").alias("cat")).distinct()
     cats = cats.withColumn("url", html.absolute(F.lit(start), F.col("cat")))
@@ -47,7 +47,7 @@ def product_rows(pages: DataFrame) -> DataFrame:
     """
     page = F.col("html")
     read = F.struct(
-        html.title(page).alias("name"), html.price(page).alias("price"), html.portion(page).alias("portion"),
+        html.title(page, "title").alias("name"), html.price(page).alias("price"), html.portion(page).alias("portion"),
         html.ingredients(page).alias("ingredients"), html.nutrients(page).alias("nutrients"),
     )
     kept = [c for c in pages.columns if c not in ("html", "url", "sub_cat")]

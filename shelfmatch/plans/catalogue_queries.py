@@ -14,6 +14,7 @@ PRICE_COLUMN = "price_2026_03_14"
 
 # --- SQL fragments shared by the checks ---
 
+# Unit words as in the constants, stated again so that the check does not share them.
 UNITS = "kg|kilo|g|gr|gram|ml|liter|l|stuk|stuks|st\\.?|pak|pakket|bos|cups?|zakjes?"
 SIZE = f"([0-9]+(?:[.,][0-9]+)?)\\s*({UNITS})"
 TRAILING = f"\\s*(?:[0-9]+(?:[.,][0-9]+)?\\s*(?:{UNITS})|[0-9]+\\s*-?\\s*pack)\\s*$"
@@ -115,18 +116,20 @@ def scan_project(spark, folder):
     return table(spark, folder, "part").where(F.col("p_retailprice") > 950).select("p_partkey", "p_name", "p_retailprice")
 
 
-@query("embedding_scan", "select vec_id as product_id, cast(len(embedding) as integer) as width, "
-       "round(cast(embedding[1] as double), 6) as first_value from embeddings")
+def elements(vectors):
+    """One row per element of each vector."""
+    placed = vectors.select("product_id", F.posexplode("embedding").alias("place", "value"))
+    return placed.select("product_id", F.col("place").cast("bigint").alias("place"), F.round(F.col("value").cast("double"), 6).alias("value"))
+
+
+@query("embedding_scan", "select vec_id as product_id, unnest(range(len(embedding))) as place, "
+       "round(cast(unnest(embedding) as double), 6) as value from embeddings")
 def embedding_scan(spark, folder):
-    vectors = table(spark, folder, "embeddings")
-    return vectors.select(
-        F.col("vec_id").alias("product_id"), F.size("embedding").alias("width"),
-        F.round(F.element_at("embedding", 1).cast("double"), 6).alias("first_value"),
-    )
+    return elements(table(spark, folder, "embeddings").withColumnRenamed("vec_id", "product_id"))
 
 
 @query("embedding_store", """
-select d.doc_id as product_id, round(cast(e.embedding[1] as double), 6) as first_value
+select d.doc_id as product_id, unnest(range(len(embedding))) as place, round(cast(unnest(embedding) as double), 6) as value
 from documents d join embeddings e on d.doc_id = e.vec_id where d.lang = 'en'""")
 def embedding_store(spark, folder):
     """Vectors written per shop (here: language) and read back for one."""
@@ -137,8 +140,31 @@ def embedding_store(spark, folder):
     )
     path = fresh_path(spark, "vectors")
     catalogues.write_vectors(products, path)
-    stored = catalogues.read_vectors(spark, path, "en")
-    return stored.select("product_id", F.round(F.element_at("embedding", 1).cast("double"), 6).alias("first_value"))
+    return elements(catalogues.read_vectors(spark, path, "en"))
+
+
+@query("csv_round_trip", "select p_partkey, p_name || ', \"' || p_type || '\"' as name, round(p_retailprice, 2) as price, p_size as size, "
+       "cast(null as varchar) as note from part")
+def csv_round_trip(spark, folder):
+    """Written as CSV with its columns in another order, read back by name; one column is not in the files."""
+    parts = table(spark, folder, "part").select(
+        "p_size", F.round("p_retailprice", 2).alias("price"), F.concat("p_name", F.lit(', "'), "p_type", F.lit('"')).alias("name"), "p_partkey"
+    ).withColumnRenamed("p_size", "size")
+    path = fresh_path(spark, "csv")
+    for _ in range(2):  # the second write replaces the first
+        catalogues.write_csv(parts, path)
+    kind = parts.schema["size"].dataType.simpleString()
+    return catalogues.read_csv(spark, path, f"p_partkey bigint, name string, price double, size {kind}, note string")
+
+
+@query("append_round_trip", "select p_partkey, p_brand from part union all select p_partkey, p_brand from part where p_size > 20")
+def append_round_trip(spark, folder):
+    """Replaced once, then appended to."""
+    parts, path = table(spark, folder, "part").select("p_partkey", "p_brand", "p_size"), fresh_path(spark, "appended")
+    catalogues.write_table(parts.limit(5), path)
+    catalogues.write_table(parts, path)
+    catalogues.append_table(parts.where("p_size > 20"), path)
+    return spark.read.parquet(path).select("p_partkey", "p_brand")
 
 
 @query("shop_partition_prune", "select doc_id as product_id, n_chars from documents where lang = 'en'")
@@ -299,15 +325,14 @@ def vegan_flag(spark, folder):
 @query("own_brand", """
 select p_partkey, 'a' as shop, contains(lower(name), '1 de beste') as own_brand from raw_a
 union all
-select p_partkey, 'b', regexp_matches(lower(p_type || ' ' || p_name), 'ah|perla|delicata|de zaanse hoeve|zaanlander|brouwers')
-from part""", ("raw_a",))
+select p_partkey, 'b', regexp_matches(lower(prod_desc), 'ah|perla|delicata|de zaanse hoeve|zaanlander|brouwers')
+from raw_b""", ("raw_a", "raw_b"))
 def own_brand(spark, folder):
     a = view(spark, folder, "raw_a").select(
         "p_partkey", F.lit("a").alias("shop"), features.is_own_brand(F.col("name"), "a").alias("own_brand")
     )
-    name = F.concat_ws(" ", "p_type", "p_name")
-    b = table(spark, folder, "part").select(
-        "p_partkey", F.lit("b").alias("shop"), features.is_own_brand(name, "b").alias("own_brand")
+    b = view(spark, folder, "raw_b").select(
+        "p_partkey", F.lit("b").alias("shop"), features.is_own_brand(F.col("prod_desc"), "b").alias("own_brand")
     )
     return a.unionByName(b)
 

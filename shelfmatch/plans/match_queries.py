@@ -193,7 +193,7 @@ def dedup_product(spark, folder):
 @query("hash_embed", "select product_id, unnest(range(64)) as place, round(unnest(vector), 6) as value from vectors", ("listing",),
        vectors("listing"))
 def hash_embed(spark, folder):
-    vectors_ = encode(plan.listing_sides(spark, folder).select("product_id", "product_text"), ["product_id"])
+    vectors_ = encode(plan.listing_sides(spark, folder).select("product_id", "product_text"))
     placed = vectors_.select("product_id", F.posexplode("embedding").alias("place", "value"))
     return placed.select("product_id", F.col("place").cast("bigint").alias("place"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
@@ -229,7 +229,7 @@ def cosine_norm(spark, folder):
 
 @query("candidate_rows", """
 select block_key, count(*) filter (where shop = 0) as n_a, count(*) filter (where shop = 1) as n_b,
-  count(*) filter (where shop = 0) * count(*) filter (where shop = 1) as n_pairs
+  cast(count(*) filter (where shop = 0) as double) * count(*) filter (where shop = 1) as n_pairs
 from block_rows group by block_key having count(*) filter (where shop = 0) > 0 and count(*) filter (where shop = 1) > 0""",
        ("listing",), KEYS)
 def candidate_rows(spark, folder):
@@ -239,20 +239,27 @@ def candidate_rows(spark, folder):
     return matching.block_sizes(rows)
 
 
-def candidates(spark, folder):
-    return matching.candidate_pairs(catalogues(spark, folder).profiles)
+IDS = ("product_id_a", "product_id_b", "copies_a", "copies_b")  # a pair stands for copies_a x copies_b pairs of products
+SQL_IDS = ", ".join(IDS)
 
 
-@query("candidate_pairs", "select product_id_a, product_id_b from candidates", ("listing",), PAIRS)
+def candidates(spark, folder, *columns):
+    """Candidate pairs of profiles (products that agree in all the score reads count as one) with their copies."""
+    profiles = catalogues(spark, folder).profiles
+    return matching.with_profiles(matching.candidate_pairs(profiles), profiles, "copies", *columns)
+
+
+@query("candidate_pairs", f"""
+select {SQL_IDS} from candidates join (select product_id as product_id_a, copies as copies_a from profiles) a using (product_id_a)
+join (select product_id as product_id_b, copies as copies_b from profiles) b using (product_id_b)""", ("listing",), PAIRS)
 def candidate_pairs(spark, folder):
-    """Distinct candidate pairs of profiles (products that agree in all the score reads count as one)."""
-    return candidates(spark, folder).select("product_id_a", "product_id_b")
+    return candidates(spark, folder).select(*IDS)
 
 
-def pair_column(name, sql, column):
-    @query(name, f"select product_id_a, product_id_b, round({sql}, 6) as similarity from parts", ("listing",), PARTS)
+def pair_column(name, sql, column, *fetched):
+    @query(name, f"select {SQL_IDS}, round({sql}, 6) as similarity from parts", ("listing",), PARTS)
     def similarity_of_pairs(spark, folder):
-        return candidates(spark, folder).select("product_id_a", "product_id_b", F.round(column(), 6).alias("similarity"))
+        return candidates(spark, folder, *fetched).select(*IDS, F.round(column(), 6).alias("similarity"))
 
     return similarity_of_pairs
 
@@ -261,7 +268,7 @@ def both(column):
     return F.col(f"{column}_a"), F.col(f"{column}_b")
 
 
-pair_column("jaccard", "jacc", lambda: similarity.jaccard(*both("name_tokens")))
+pair_column("jaccard", "jacc", lambda: similarity.jaccard(*both("name_tokens")), "name_tokens")
 pair_column("quantity_sim", "quantity_score", lambda: similarity.quantity_similarity(*both("quantity")))
 pair_column("price_sim", "price_score", lambda: similarity.price_similarity(*both("price")))
 
@@ -278,18 +285,18 @@ def all_scored(spark, folder):
     return plan.scored_pairs(catalogues(spark, folder), threshold=None)
 
 
-@query("fuzz_score", "select product_id_a, product_id_b, round(fuzz, 6) as name_fuzz_score from parts join common using (sa, sb)",
+@query("fuzz_score", f"select {SQL_IDS}, round(fuzz, 6) as name_fuzz_score from parts join common using (sa, sb)",
        ("listing",), PARTS + common("parts"))
 def fuzz_score(spark, folder):
     """Every candidate pair, compared character by character."""
-    return all_scored(spark, folder).select("product_id_a", "product_id_b", *rounded("name_fuzz_score"))
+    return all_scored(spark, folder).select(*IDS, *rounded("name_fuzz_score"))
 
 
-@query("match_score", f"select product_id_a, product_id_b, {SQL_PARTS} from (select *, {SCORE} as score from parts join common using (sa, sb)) p",
+@query("match_score", f"select {SQL_IDS}, {SQL_PARTS} from (select *, {SCORE} as score from parts join common using (sa, sb)) p",
        ("listing",), PARTS + common("parts"))
 def match_score(spark, folder):
     """All five similarities and the score of every candidate pair."""
-    return all_scored(spark, folder).select("product_id_a", "product_id_b", *rounded(*PART_COLUMNS, "score"))
+    return all_scored(spark, folder).select(*IDS, *rounded(*PART_COLUMNS, "score"))
 
 
 @query("high_score_pairs", """
@@ -313,10 +320,10 @@ def best_match(spark, folder):
 
 
 @query("blocking_stats", """
-select (select count(*) from listing where shop = 0) * (select count(*) from listing where shop = 1) as all_pairs,
-  (select cast(sum(a * b) as bigint) from (select count(*) filter (where shop = 0) as a, count(*) filter (where shop = 1) as b
+select (select cast(count(*) as double) from listing where shop = 0) * (select count(*) from listing where shop = 1) as all_pairs,
+  (select cast(sum(cast(a as double) * b) as double) from (select count(*) filter (where shop = 0) as a, count(*) filter (where shop = 1) as b
     from block_rows group by block_key) s) as candidate_rows,
-  (select cast(sum(copies_a * copies_b) as bigint) from pairs) as high_score_pairs,
+  (select sum(cast(copies_a as double) * copies_b) from pairs) as high_score_pairs,
   (select count(*) from best) as matches""", ("listing",), BEST)
 def blocking_stats(spark, folder):
     """Pairs without blocking, candidate rows, pairs above the threshold and matched products."""
@@ -324,10 +331,10 @@ def blocking_stats(spark, folder):
     pairs = stage(plan.scored_pairs(ready), "pairs")  # read twice
     found = matching.best_matches(pairs, ready.members)
     sides = ready.members.agg(
-        (F.count_if(F.col("side") == "a") * F.count_if(F.col("side") == "b")).alias("all_pairs")
+        (F.count_if(F.col("side") == "a").cast("double") * F.count_if(F.col("side") == "b")).alias("all_pairs")
     )
     rows = candidate_rows(spark, folder).agg(F.sum("n_pairs").alias("candidate_rows"))
-    high = pairs.agg(F.sum(F.col("copies_a") * F.col("copies_b")).alias("high_score_pairs"))
+    high = pairs.agg(F.sum(F.col("copies_a").cast("double") * F.col("copies_b")).alias("high_score_pairs"))
     return sides.select(
         "all_pairs", rows.scalar().alias("candidate_rows"), high.scalar().alias("high_score_pairs"),
         found.agg(F.count(F.lit(1)).alias("matches")).scalar().alias("matches"),

@@ -25,7 +25,7 @@ def listing_sides(spark: SparkSession, folder: str) -> DataFrame:
 
 def scored_pairs(catalogues: matching.Catalogues, threshold: float | None = K.PAIR_THRESHOLD) -> DataFrame:
     """Scored pairs of profiles; the threshold also prunes the work."""
-    return matching.score_pairs(matching.candidate_pairs(catalogues.profiles), threshold)
+    return matching.score_pairs(matching.candidate_pairs(catalogues.profiles, threshold), catalogues.profiles, threshold)
 
 
 def best_of(catalogues: matching.Catalogues) -> DataFrame:

@@ -49,6 +49,15 @@ def explode_hierarchy(spark, folder):
     return pages.with_absolute(pages.links(stored)).select("cat", "sub_cat", F.col("absolute_url").alias("product"))
 
 
+@query("category_tree", """
+select distinct '/c/' || p_type || '/' as cat, '/c/' || p_type || '/' || replace(p_brand, '#', '') || '/' as sub_cat,
+  'http://shop0.example/c/' || p_type || '/' || replace(p_brand, '#', '') || '/' || cast(p_partkey as varchar) as product from part""")
+def category_tree(spark, folder):
+    """Departments, brands and products of a stored shop, by following its links; pages may be stored twice."""
+    site = view(spark, folder, "site")
+    return pages.category_tree(site.unionAll(site), "http://shop0.example/")
+
+
 @query("page_title", f"select page_id, {TITLE} as title from pages")
 def page_title(spark, folder):
     return table(spark, folder, "pages").select("page_id", html.title(F.col("html")).alias("title"))
@@ -61,7 +70,7 @@ def page_rows(spark, folder):
     return table(spark, folder, "pages").select("page_id", "url", html.title(F.col("html")).alias("title"), found.alias("n_links"))
 
 
-@query("rejected_pages", "select url as href, case when not regexp_matches(html, '<h1') then 'no title' "
+@query("rejected_pages", "select url as href, case when not regexp_matches(html, 'class=\"title') then 'no title' "
        "when not regexp_matches(html, 'class=\"price') then 'no price' else 'no portion' end as problem from pages "
        "where not (regexp_matches(html, 'price-large') and regexp_matches(html, 'class=\"subtitle'))")
 def rejected_pages(spark, folder):
@@ -71,11 +80,12 @@ def rejected_pages(spark, folder):
 
 # --- product pages made from the part table ---
 
-LARGE = "regexp_extract(html, 'price-large\">([^<]*)<', 1)"
-SMALL = "regexp_extract(html, 'price-small\">([^<]*)<', 1)"
-PRICE = f"""case when html like '%price-small%' then try_cast({LARGE} || '.' || {SMALL} as double)
+BOX = "regexp_extract(html, '<div class=\"price\">(.*?)</div>', 1)"
+LARGE = f"regexp_extract({BOX}, 'price-large\">([^<]*)<', 1)"
+SMALL = f"regexp_extract({BOX}, 'price-small\">([^<]*)<', 1)"
+PRICE = f"""case when {BOX} like '%price-small%' then try_cast({LARGE} || '.' || {SMALL} as double)
   when html like '%price-large%' then try_cast('0.' || case when length({LARGE}) < 2 then '0' else '' end || {LARGE} as double) end"""
-INGREDIENTS = """nullif(regexp_replace(regexp_replace(regexp_extract(html, '<div class="body"><p>(.*?)</p>', 1), '<[^>]*>', '', 'g'),
+INGREDIENTS = """nullif(regexp_replace(regexp_replace(regexp_extract(html, '<div class="body"><p>(.*?)</p>', 1), '\\s*<[^>]*>\\s*', '', 'g'),
   '^Ingrediënten\\s*:\\s*', ''), '')"""
 
 
@@ -84,8 +94,8 @@ def _item(label):
 
 
 NUTRIENTS = f"""try_cast({_item('Energie kcal')} as double) as kcal,
-  cast(null as double) as carbs_g, try_cast({_item('waarvan onverzadigd Vet')} as double) as fat_g,
-  try_cast({_item('Eiwitten')} as double) as protein_g, cast(null as double) as salt_g"""
+  try_cast({_item('Koolhydraten')} as double) as carbs_g, try_cast({_item('waarvan onverzadigd Vet')} as double) as fat_g,
+  try_cast({_item('Eiwitten')} as double) as protein_g, try_cast({_item('Zout')} as double) as salt_g"""
 
 
 @query("price_parts", f"select p_partkey, {PRICE} as price from product_pages", ("product_pages",))
@@ -100,8 +110,8 @@ def page_ingredients(spark, folder):
 
 @query("page_nutrition", f"""
 select p_partkey, label, value from (
-  select p_partkey, unnest(['Energie kcal', 'Vet', 'waarvan onverzadigd Vet', 'Eiwitten']) as label,
-    unnest([{_item('Energie kcal')}, {_item('Vet')}, {_item('waarvan onverzadigd Vet')}, {_item('Eiwitten')}]) as value
+  select p_partkey, unnest(['Energie kcal', 'Vet', 'Koolhydraten', 'Zout', 'waarvan onverzadigd Vet', 'Eiwitten']) as label,
+    unnest([{_item('Energie kcal')}, {_item('Vet')}, {_item('Koolhydraten')}, {_item('Zout')}, {_item('waarvan onverzadigd Vet')}, {_item('Eiwitten')}]) as value
   from product_pages) t where value is not null""", ("product_pages",))
 def page_nutrition(spark, folder):
     return view(spark, folder, "product_pages").select("p_partkey", F.explode(html.nutrients(F.col("html"))).alias("label", "value"))

@@ -6,7 +6,7 @@ from shelfmatch import constants as K
 from shelfmatch.functions import features
 from shelfmatch.operators import eda, evaluation, labels, prices
 from shelfmatch.plans import matching as plan
-from shelfmatch.plans.catalogue_queries import FEATURES_A, features_a
+from shelfmatch.plans.catalogue_queries import CLEAN_B, FEATURES_A, features_a, features_b
 from shelfmatch.plans.match_queries import BEST, rounded
 from shelfmatch.plans.registry import query
 from shelfmatch.plans.views import table, view
@@ -33,11 +33,11 @@ SWEEP_SQL = "select step, round(threshold, 6) as threshold, round(precision, 6)
 SWEEP_COLUMNS = ("threshold", "precision", "recall", "f1")
 
 
-@query("natural_join", "select doc_id, quality, toxic, lang, source, n_chars from labels join documents using (doc_id) where quality is not null")
+@query("natural_join", "select doc_id, quality, toxic, lang, source, n_chars, md5(text) as text_md5 from labels join documents using (doc_id) where quality is not null")
 def natural_join(spark, folder):
     """Labels and documents on their common column, unlabelled rows dropped."""
-    joined = evaluation.natural_join(table(spark, folder, "labels"), table(spark, folder, "documents").drop("text"))
-    return joined.na.drop(subset=["quality"]).select("doc_id", "quality", "toxic", "lang", "source", "n_chars")
+    joined = evaluation.natural_join(table(spark, folder, "labels"), table(spark, folder, "documents"))
+    return joined.na.drop(subset=["quality"]).select("doc_id", "quality", "toxic", "lang", "source", "n_chars", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 @query("roc_auc", "select round(sum(p * (below + n / 2)) / (sum(p) * sum(n)), 6) as roc_auc from "
@@ -84,7 +84,22 @@ def confusion_at(spark, folder):
     return found.select("tp", "fp", "fn", *rounded("precision", "recall", "f1"))
 
 
-def strata(source, key, tag):
+@query("confusion_with_gaps", """
+select tp, fp, fn, round(tp / (tp + fp), 6) as precision, round(tp / (tp + fn), 6) as recall, round(2 * tp / (2 * tp + fp + fn), 6) as f1
+from (select count(*) filter (where hit and label = 1) as tp, count(*) filter (where hit and label = 0) as fp,
+  count(*) filter (where not hit and label = 1) as fn from (select label, coalesce(score >= 0.78::double, false) as hit from scored_gaps) s) c""", ("scored_gaps",))
+def confusion_with_gaps(spark, folder):
+    """A pair without a score is not predicted."""
+    found = evaluation.confusion_at(view(spark, folder, "scored_gaps"), K.MATCH_THRESHOLD)
+    return found.select("tp", "fp", "fn", *rounded("precision", "recall", "f1"))
+
+
+@query("sweep_with_gaps", SWEEP_SQL, ("scored_gaps",), (("scored", "select doc_id, label, coalesce(score, -1) as score from scored_gaps"),) + SWEEP)
+def sweep_with_gaps(spark, folder):
+    return evaluation.threshold_sweep(view(spark, folder, "scored_gaps")).select("step", *rounded(*SWEEP_COLUMNS))
+
+
+def strata(source, key, tag, draws=(150, 300, 150)):
     """Thirds by position and the draws of each: lowest md5 of key and seed."""
     return ((f"{tag}strata", f"""
 select *, case when position < n // 3 then 'high' when position < 2 * n // 3 then 'middle' else 'low' end as stratum
@@ -92,7 +107,7 @@ from (select *, row_number() over (order by score desc, {', '.join(key)}) - 1 as
         (f"{tag}sample", f"""
 select * from (select *, row_number() over (partition by stratum order by draw_hash) as turn
   from (select *, md5({" || '|' || ".join(f'cast({k} as varchar)' for k in key)} || '|42') as draw_hash from {tag}strata) h) t
-where turn <= case stratum when 'middle' then 300 else 150 end"""))
+where turn <= case stratum when 'high' then {draws[0]} when 'middle' then {draws[1]} else {draws[2]} end"""))
 
 
 @query("stratified_sample", "select doc_id, score, stratum from sample", ("scored",), strata("scored", ("doc_id",), ""))
@@ -100,6 +115,12 @@ def stratified_sample(spark, folder):
     return labels.stratified_sample(scored(spark, folder), ["doc_id"]).select("doc_id", "score", "stratum")
 
 
+@query("stratified_draw", "select doc_id, score, stratum from sample", ("scored",), strata("scored", ("doc_id",), "", (9, 12, 6)))
+def stratified_draw(spark, folder):
+    """Fewer draws than a third has rows, at every size of the tables."""
+    return labels.stratified_sample(scored(spark, folder), ["doc_id"], draws=(9, 12, 6)).select("doc_id", "score", "stratum")
+
+
 @query("attach_labels", "select d.doc_id, n_chars, quality as label from documents d left join labels l on d.doc_id = l.doc_id")
 def attach_labels(spark, folder):
     pairs = table(spark, folder, "documents").select("doc_id", "n_chars")
@@ -248,6 +269,38 @@ def price_kde(spark, folder):
     return density.select("shop", "point", *rounded("x", "density"))
 
 
+# The reports of shop b, on the products whose macro shares can be right.
+VALID_B = CLEAN_B + (("valid_b", """
+select p_partkey, name, 'b' as shop, price, protein_g, protein_g * 4 / nullif(kcal, 0) as frac_kcal_protein, vegan from (
+  select *, not (coalesce(regexp_matches(ingredients, '(?i)kip|rund|varken|lam|vlees|vis|melk|boter|yoghurt|room|honing|wei|eigeel|eipoeder'), false)
+    or coalesce(regexp_matches(ingredients, '\\bEI\\b'), false)) as vegan from clean_b) c
+where carbs_g * 4 / nullif(kcal, 0) <= 1.1::double and fat_g * 9 / nullif(kcal, 0) <= 1.1::double and protein_g * 4 / nullif(kcal, 0) <= 1.1::double"""),)
+
+
+def valid_b(spark, folder):
+    return eda.valid_products(features_b(spark, folder))
+
+
+@query("price_stats_valid", "select shop, count(*) as n_products, round(avg(price), 6) as mean_price, round(median(price), 6) as median_price "
+       "from valid_b group by shop", ("raw_b",), VALID_B)
+def price_stats_valid(spark, folder):
+    stats = eda.price_stats(valid_b(spark, folder).select(F.lit("b").alias("shop"), "price"))
+    return stats.select("shop", "n_products", *rounded("mean_price", "median_price"))
+
+
+@query("top_protein_valid", "select p_partkey, name, round(protein_g, 6) as protein_g from valid_b where protein_g is not null "
+       "order by valid_b.protein_g desc, p_partkey limit 5", ("raw_b",), VALID_B)
+def top_protein_valid(spark, folder):
+    return eda.top_products(valid_b(spark, folder), "protein_g", "p_partkey").select("p_partkey", "name", *rounded("protein_g"))
+
+
+@query("frac_non_vegan_valid", """
+select threshold, round(1 - avg(cast(vegan as integer)) filter (where frac_kcal_protein > threshold), 6) as share_non_vegan
+from valid_b, (select unnest([0.0::double, 0.2::double]) as threshold) t group by threshold""", ("raw_b",), VALID_B)
+def frac_non_vegan_valid(spark, folder):
+    return eda.share_non_vegan(valid_b(spark, folder)).select("threshold", *rounded("share_non_vegan"))
+
+
 def top_query(name, column):
     @query(name, f"select p_partkey, name, round({column}, 6) as {column} from features_a where {column} is not null "
            f"order by features_a.{column} desc, p_partkey limit 5", ("raw_a",), FEATURES_A)

@@ -1,6 +1,7 @@
 """Session settings for local runs; on a cluster the session comes from the cluster."""
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -14,6 +15,7 @@ def local_session(cores=None, app="shelfmatch"):
         .config("spark.driver.memory", os.environ.get("SHELFMATCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shelfmatch-"))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

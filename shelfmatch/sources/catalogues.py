@@ -6,15 +6,22 @@ from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str, columns: str, strict=False, line_breaks=False) -> DataFrame:
-    """CSV with a header and a declared schema; ``strict`` fails on a malformed row, else its bad fields are null.
+    """CSV with a header, read by name into a declared schema, in any order of the columns in the file.
 
+    Columns that the file lacks are an error if ``strict``, else null; others that it has are left out. ``strict`` also
+    fails on a malformed row or value, else the bad value is null. All files below ``path`` have one header.
     ``line_breaks`` allows them in quoted fields, but then a file is read by one task, as it cannot be split.
     """
-    return (
-        spark.read.schema(columns)
-        .options(header=True, multiLine=line_breaks, escape='"', enforceSchema=True, mode="FAILFAST" if strict else "PERMISSIVE")
-        .csv(path)
-    )
+    reader = spark.read.options(header=True, multiLine=line_breaks, escape='"', mode="FAILFAST" if strict else "PERMISSIVE")
+    header = reader.csv(path).columns  # of the first line
+    wanted = T.StructType.fromDDL(columns)
+    missing = [f.name for f in wanted if f.name not in header]
+    if strict and missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    kinds = {f.name: f.dataType for f in wanted}
+    stored = T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in header])
+    found = reader.schema(stored).csv(path)
+    return found.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in missing else F.col(f"`{f.name}`") for f in wanted])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

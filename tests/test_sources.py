@@ -63,12 +63,12 @@ def test_vectors_are_pruned_by_shop(spark, tmp_path):
 def test_stage_reads_the_written_rows(spark):
     staged = staging.stage(spark.range(5).withColumn("t", F.array(F.lit("x"))), "t")
     assert staged.count() == 5 and "FileScan parquet" in staged._jdf.queryExecution().toString()
-    assert "ResolvedHint" in staging.broadcast_if_small(staged, 5)._jdf.queryExecution().toString()
-    assert "ResolvedHint" not in staging.broadcast_if_small(staged, 4)._jdf.queryExecution().toString()
+    assert "ResolvedHint" in staging.broadcast_if_small(staged, 5 * 48)._jdf.queryExecution().toString()
+    assert "ResolvedHint" not in staging.broadcast_if_small(staged, 4 * 48)._jdf.queryExecution().toString()
 
 
 def page(i, price='<span class="price-large">1</span><span class="price-small">25</span>'):
-    return (i, f"http://s/kaas/{i}", f'<h1>Kaas {i}</h1><p class="subtitle">1 kg</p>{price}')
+    return (i, f"http://s/kaas/{i}", f'<div class="title"><h1>Kaas {i}</h1></div><p class="subtitle">1 kg</p><div class="price">{price}</div>')
 
 
 def test_stream_reads_each_page_once(spark, tmp_path):
