@@ -59,7 +59,9 @@ def prepare(products: DataFrame, make_encoder=HashedTokens, null_blocks="match")
     blocks = corpus.matching_blocks(ranked, vocab, keys)
     block_keys = F.transform(F.array_distinct("blocks"), lambda t: corpus.block_key(F.col("own_brand"), t))
     no_keys = F.array(F.lit(corpus.NULL_BLOCK)) if null_blocks == "match" else F.array().cast("array<string>")
-    encoded = encode(kept, "product_text", make_encoder)
+    # the encoder is the costly part: dealt over all tasks, by the keys that the join below needs
+    tasks = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    encoded = encode(kept.repartition(tasks, *keys), "product_text", make_encoder)
     profiles = encoded.join(blocks, keys, "left").select(
         *keys, "profile_key", "copies", "name_only", "own_brand", "quantity", "price", "embedding",
         F.array_distinct(text.tokens(F.col("name_only"))).alias("name_tokens"),
@@ -153,10 +155,11 @@ def candidate_pairs(profiles: DataFrame, threshold: float | None = None) -> Data
 
 
 def with_profiles(pairs: DataFrame, profiles: DataFrame, *columns: str) -> DataFrame:
-    """The pairs with more columns of both profiles, fetched by id; a profile in very many pairs is split by the skew
-    join, as the other side has one row per id."""
+    """The pairs with more columns of both profiles, fetched by id: by broadcast, if the columns of all (staged) profiles
+    are small; else by a join that splits a profile in very many pairs, as the other side has one row per id."""
+    wanted = broadcast_if_small(profiles.select("side", "product_id", *columns))
     for side in ("a", "b"):
-        own = profiles.where(F.col("side") == side).select("product_id", *columns)
+        own = wanted.where(F.col("side") == side).drop("side")
         pairs = pairs.join(own.withColumnsRenamed({c: f"{c}_{side}" for c in own.columns}), f"product_id_{side}")
     return pairs
 

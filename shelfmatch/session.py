@@ -16,6 +16,7 @@ def local_session(cores=None, app="shelfmatch"):
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shelfmatch-"))
+        .config("spark.sql.files.openCostInBytes", "1m")  # small tables, yet a split per core
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

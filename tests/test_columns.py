@@ -139,7 +139,7 @@ def test_page_fields(spark):
 
 
 def test_page_fields_that_are_missing(spark):
-    pages = ['<span class="price-large">5</span>', "<p>x</p>", '<article><h3>Ingrediënten</h3><div class="body"></div></article>']
+    pages = ['<div class="price"><span class="price-large">5</span></div>', "<p>x</p>", '<article><h3>Ingrediënten</h3><div class="body"></div></article>']
     assert values(spark, pages, html.price) == [0.05, None, None]
     assert values(spark, pages, html.ingredients) == [None, None, None]
     assert values(spark, pages, html.nutrients) == [None, None, None]
