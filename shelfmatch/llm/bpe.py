@@ -27,7 +27,8 @@ SHORT = 100  # bytes of a word up to which ranks are scanned; longer words use a
 BLOCK = 1 << 19  # characters that are encoded together
 ROWS = 1 << 13  # words of one length that are merged together
 SLOTS = 1 << 19  # of the cache of words in a Python worker
-POOL = 1 << 23  # ids that the cache holds
+POOL = 1 << 22  # ids that the cache holds
+PORTION = 256  # texts of an Arrow batch that are held as Python strings at a time
 NO_RANK = 1 << 40  # the rank of a pair that does not merge
 
 _CUT = regex.compile(r"\P{White_Space}(?=\p{White_Space})")
@@ -304,10 +305,12 @@ def encode(docs: DataFrame, source: str, text: str = "text", ids: str = "ids") -
 
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
-        codec = _codec(source)
-        found = list(codec.encode_all([t or "" for t in texts.to_pylist()]))
-        ends = np.cumsum([0, *map(len, found)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*found, np.empty(0, np.int32)])))
+        codec, parts = _codec(source), [pa.array([], pa.list_(pa.int32()))]
+        for at in range(0, len(texts), PORTION):
+            found = list(codec.encode_all([t or "" for t in texts.slice(at, PORTION).to_pylist()]))
+            ends = np.cumsum([0, *map(len, found)])
+            parts.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found))))
+        return pa.concat_arrays(parts)
 
     return without(docs, ids).withColumn(ids, run(quoted(text))) if text != ids else docs.withColumn(ids, run(quoted(text)))
 
@@ -320,7 +323,10 @@ def decode(docs: DataFrame, source: str, ids: str = "ids", decoded: str = "decod
     def run(lists: pa.Array) -> pa.Array:
         codec, ends = _codec(source), lists.offsets.to_numpy()
         flat = pa.compute.fill_null(lists.values, -1).to_numpy(zero_copy_only=False)
-        missing = lists.is_null().to_pylist()
-        return pa.array(["" if gone else codec.decode(flat[a:b]) for gone, a, b in zip(missing, ends, ends[1:])], pa.string())
+        missing, parts = lists.is_null().to_pylist(), [pa.array([], pa.string())]
+        for at in range(0, len(lists), PORTION):
+            rows = range(at, min(len(lists), at + PORTION))
+            parts.append(pa.array(["" if missing[i] else codec.decode(flat[ends[i]:ends[i + 1]]) for i in rows], pa.string()))
+        return pa.concat_arrays(parts)
 
     return without(docs, decoded).withColumn(decoded, run(quoted(ids)))
