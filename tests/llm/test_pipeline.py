@@ -63,4 +63,4 @@ def test_library_without_the_subpackage():
         if not folder.endswith("llm") and "__pycache__" not in folder:
             for name in (f for f in files if f.endswith(".py")):
                 with open(os.path.join(folder, name), encoding="utf-8") as file:
-                    assert "llm" not in file.read()
+                    assert "shelfmatch.llm" not in file.read()
