@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK_BYTES = 2_000_000  # text that a Python task holds in numpy form at a time
+HEAVY = 4096  # a key of more than this part of all rows is heavy, so fewer keys than this are
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,6 +34,19 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[quoted(c) for c in df.columns if c.lower() not in drop])
 
 
+def join_counted(rows: DataFrame, groups: DataFrame, key: list[str], total: int) -> DataFrame:
+    """``rows`` joined with ``groups``, which has one row per key (never null) and the number ``n`` of its rows among
+    all ``total``; ``n`` is left out. Both are staged, as they are read more than once.
+
+    Heavy keys, fewer than ``HEAVY``, reach their rows by broadcast; only the rows of the others are shuffled. So no
+    task gets more than a small part of all rows by one key.
+    """
+    heavy = F.col("n") * HEAVY > total
+    near, far = F.broadcast(groups.where(heavy).drop("n")), groups.where(~heavy).drop("n")
+    others = rows.join(near.select(*key), key, "left_anti")
+    return rows.join(near, key).unionByName(others.join(far, key))
+
+
 def quoted(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import ascii_lower, quoted, spare, without
+from shelfmatch.llm.common import ascii_lower, join_counted, quoted, spare, without
 from shelfmatch.sources.staging import stage
 
 LINE_SPACE = " \t\n\x0b\x0c\r"
@@ -26,9 +26,9 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, min_documents: int
     counted. Rows that share a ``doc_id`` are one document: a line in two of them counts once. Input columns named
     ``n_lines`` or ``n_dropped`` are replaced.
 
-    Only (document, position, 128-bit hash) rows are grouped and joined; the first document of a hash comes from
-    partial aggregation, so a line that a third of all documents hold is a few rows. The text meets the list of its
-    dropped positions in one join.
+    Only (document, position, 128-bit hash) rows are grouped and joined. The first document of a hash comes from
+    partial aggregation and goes back to the hash's rows, by broadcast if it has very many (``join_counted``), so a line
+    that a third of all documents hold is never gathered. The text meets the list of its dropped positions in one join.
     """
     docs = without(docs, "n_lines", "n_dropped")
     line = F.col("line")
@@ -37,14 +37,13 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 10, min_documents: int
     hashed = stage(keyed.select("id", "version", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2")), "lines")
 
     if min_documents <= 2:
-        counted = hashed.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+        counted = hashed.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count(F.lit(1)).alias("n")).where("first < last")
     else:
-        once = hashed.groupBy("h1", "h2", "id").agg(F.lit(1).alias("one"))
-        counted = once.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.sum("one").alias("n")).where(F.col("n") >= min_documents)
-    dropped = (
-        hashed.join(counted.select("h1", "h2", "first"), ["h1", "h2"]).where("id <> first")
-        .groupBy("id", "version").agg(F.collect_set("pos").alias("gone"))
-    )
+        once = hashed.groupBy("h1", "h2", "id").agg(F.count(F.lit(1)).alias("times"))
+        counted = once.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("ids"), F.sum("times").alias("n")).where(F.col("ids") >= min_documents)
+    repeated = stage(counted.select("h1", "h2", "first", "n"), "repeated-lines")
+    met = join_counted(hashed, repeated, ["h1", "h2"], hashed.count())
+    dropped = met.where("id <> first").groupBy("id", "version").agg(F.collect_set("pos").alias("gone"))
     id_, version, gone, lines, n = spare(docs, "id", "version", "gone", "lines", "n")
     side = dropped.select(F.col("id").alias(id_), F.col("version").alias(version), F.col("gone").alias(gone))
     joined = docs.join(side, (quoted(doc_id) == F.col(id_)) & (F.xxhash64(quoted(text)) == F.col(version)), "left")
