@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import quoted, spare, text_blocks, without
+from shelfmatch.llm.common import join_counted, quoted, spare, text_blocks
 from shelfmatch.sources.staging import stage
 
 BITS, SEED = 64, 42
@@ -183,15 +183,17 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, doc_id:
 
     Null, empty and blank texts have fingerprint zero and are linked like others. Rows without a ``doc_id`` give and
     take links, but are never the id of a component; it is null if no row of the component has one. Repeated rows give
-    repeated results. Work after the scan is on distinct fingerprints, so exact copies cost one row.
+    repeated results. Work after the scan is on distinct fingerprints, so exact copies cost one row; the class goes back
+    to the rows of a fingerprint with very many copies by broadcast (``join_counted``).
     """
     found = stage(fingerprints(docs, words, doc_id, text), "fingerprints")
-    prints = stage(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "prints")
-    roots = stage(components(print_links(prints, distance)), "roots")
-    named = prints.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = named.join(least, "root").select("fingerprint", "component_id")
-    return found.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    prints = stage(found.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "prints")
+    roots = components(print_links(prints, distance))
+    named = prints.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    named = stage(named.withColumn("root", F.coalesce("root", "fingerprint")), "roots")
+    least = stage(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")), "components")
+    classes = join_counted(named, least, ["root"], named.count()).select("fingerprint", "component_id", F.col("copies").alias("n"))
+    return join_counted(found, stage(classes, "classes"), ["fingerprint"], found.count()).select("doc_id", "fingerprint", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
