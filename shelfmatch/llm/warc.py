@@ -11,7 +11,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import quoted
+from shelfmatch.llm.common import join_counted, quoted
+from shelfmatch.sources.staging import stage
 
 # Fixed values of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D  # the skippable frame that holds the dictionary
@@ -37,12 +38,13 @@ def plan_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """(page_id, last_by_digest) of the pages (page_id, payload) that repeat a payload of at least ``least_bytes``
     bytes: for each digest of such a payload, the largest ``page_id`` that has it, if that is another page.
 
-    No payload is shuffled. The largest id per digest comes from partial aggregation; a payload that very many pages
-    share is one row of the join's other side, and skewed partitions of pages are split.
+    No payload is shuffled. The largest id per digest comes from partial aggregation and goes back to the digest's
+    pages, by broadcast if there are very many (``join_counted``).
     """
     rows = pages.where("page_id is not null").where(F.octet_length("payload") >= least_bytes).select("page_id", F.sha2("payload", 256).alias("digest"))
-    shared = rows.groupBy("digest").agg(F.max("page_id").alias("last"), F.min("page_id").alias("first")).where("first < last")
-    repeats = rows.join(shared.select("digest", "last"), "digest").where("page_id < last")
+    rows = stage(rows, "digests")
+    shared = rows.groupBy("digest").agg(F.max("page_id").alias("last"), F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("first < last")
+    repeats = join_counted(rows, stage(shared.drop("first"), "shared-digests"), ["digest"], rows.count()).where("page_id < last")
     return repeats.groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("digest", "last"))).alias("last_by_digest"))
 
 

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from shelfmatch.llm import bpe, lines, sharding, simhash
+from shelfmatch.llm import bpe, common, lines, sharding, simhash
 from shelfmatch.llm.queries import vocabulary
 
 SMALL = "/root/testdata/sf0.001"
@@ -185,3 +185,14 @@ def test_bpe_columns(documents):
     assert odd.decoded == 2 * bpe.Codec(source).decode(np.array([72]))
 
 
+@pytest.mark.parametrize("heavy", [1, 10, 4096])
+def test_join_counted(spark, monkeypatch, heavy):
+    """Common and rare keys give the rows of a plain join, whichever way they go; keys without a group give none."""
+    monkeypatch.setattr(common, "HEAVY", heavy)
+    keys = [0] * 60 + [1] * 25 + [2] * 3 + [3, 4, 4, None]
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k int")
+    groups = spark.createDataFrame([(k, keys.count(k), f"g{k}") for k in (0, 1, 2, 4)], "k int, n long, name string")
+    found = common.join_counted(rows, groups, ["k"], len(keys))
+    assert found.columns == ["k", "id", "name"]
+    assert sorted(tuple(r) for r in found.collect()) == sorted((k, i, f"g{k}") for i, k in enumerate(keys) if k in (0, 1, 2, 4))
+    assert common.join_counted(rows.limit(0), groups.limit(0), ["k"], 0).isEmpty()
