@@ -47,6 +47,18 @@ def join_counted(rows: DataFrame, groups: DataFrame, key: list[str], total: int)
     return rows.join(near, key).unionByName(others.join(far, key))
 
 
+def hash_sample(rows: DataFrame, key: str, value: str, total: int, most: int) -> DataFrame:
+    """(h, value): the ``most`` keys with the least hashes (fewer, if many of the ``total`` rows share a key), with the
+    least value of each, in that order.
+
+    Only rows with a hash so low that about twice as many keys as wanted have one are grouped and sorted. So what
+    reaches the driver does not grow with the rows or the tasks; a plain top-k sends ``most`` rows of every task.
+    """
+    bound = -(1 << 63) + ((1 << 64) - 1) * min(total, 2 * most) // max(1, total)
+    low = rows.select(F.xxhash64(quoted(key)).alias("h"), quoted(value).alias(value)).where(F.col("h") <= bound)
+    return low.groupBy("h").agg(F.min(quoted(value)).alias(value)).orderBy("h").limit(most)
+
+
 def quoted(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import join_counted, quoted
+from shelfmatch.llm.common import hash_sample, join_counted, quoted
 from shelfmatch.sources.staging import stage
 
 # Fixed values of the formats.
@@ -94,12 +94,12 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
 
     Spark's text writer puts the frames into files, so any file system that Spark knows will do and a lost executor's
     half-written file never counts. Its line separator is an empty skippable frame, which every reader passes over.
-    The dictionary is trained on at most ``SAMPLE_ROWS`` payloads with the least hashes (their first ``SAMPLE_BYTES``).
+    The dictionary is trained on at most ``SAMPLE_ROWS`` payloads, of the pages with the least hashes (their first ``SAMPLE_BYTES``).
     """
     source = pages.select(quoted(page_id).cast("long").alias("page_id"), quoted(url).alias("url"), F.encode(F.coalesce(quoted(html), F.lit("")), "UTF-8").alias("payload"))
-    size = source.agg(F.sum(F.octet_length("payload") + 500)).first()[0] or 0
-    start = F.substring("payload", 1, SAMPLE_BYTES).alias("payload")
-    sample = source.select(F.xxhash64("page_id").alias("h"), "page_id", start).orderBy("h", "page_id").limit(SAMPLE_ROWS)
+    size, rows = source.agg(F.coalesce(F.sum(F.octet_length("payload") + 500), F.lit(0)), F.count(F.lit(1))).first()
+    starts = source.select("page_id", F.substring("payload", 1, SAMPLE_BYTES).alias("payload"))
+    sample = hash_sample(starts, "page_id", "payload", rows, SAMPLE_ROWS)
     dictionary = train_dictionary([bytes(r.payload) for r in sample.collect()])
     at = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 

@@ -196,3 +196,13 @@ def test_join_counted(spark, monkeypatch, heavy):
     assert found.columns == ["k", "id", "name"]
     assert sorted(tuple(r) for r in found.collect()) == sorted((k, i, f"g{k}") for i, k in enumerate(keys) if k in (0, 1, 2, 4))
     assert common.join_counted(rows.limit(0), groups.limit(0), ["k"], 0).isEmpty()
+
+
+def test_hash_sample(spark):
+    """The least hashes of all keys, once each, whatever the part of the hashes that is looked at."""
+    rows = spark.range(5000).selectExpr("id % 3000 as k", "id as v")
+    hashes = [r.h for r in rows.selectExpr("xxhash64(k) as h").distinct().orderBy("h").limit(50).collect()]
+    found = common.hash_sample(rows, "k", "v", 5000, 50)
+    assert [r.h for r in found.collect()] == hashes and all(r.v < 3000 for r in found.collect())
+    assert common.hash_sample(rows, "k", "v", 5000, 9000).count() == 3000
+    assert common.hash_sample(rows.limit(0), "k", "v", 0, 9).isEmpty()
