@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from shelfmatch.llm.common import quoted
+from shelfmatch.llm.common import hash_sample, quoted
 from shelfmatch.sources.staging import stage
 
 SAMPLE_ROWS = 20_000  # vectors that the lists are fitted on, those with the least hashes
@@ -58,7 +58,7 @@ def fit_lists(vectors: DataFrame, rows: int, length: float, dimensions: int, k:
     """k-means on a bounded sample (about the square root of the rows as the number of lists, if the sample allows),
     and how many lists to probe: so many that, among the sample, the part ``recall`` of the ``k`` true neighbours of
     some sampled vectors lies in them."""
-    sample = vectors.select("vec", F.xxhash64("vec").alias("h")).orderBy("h").limit(SAMPLE_ROWS).collect()
+    sample = hash_sample(vectors, "vec", "vec", rows, SAMPLE_ROWS).collect()
     random = np.random.default_rng(SEED)
     rotation, _ = np.linalg.qr(random.standard_normal((dimensions + 1, dimensions + 1)))
     lists = Lists(length, rotation, np.zeros((1, dimensions + 1)))
