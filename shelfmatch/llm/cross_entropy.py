@@ -49,8 +49,8 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
 
 def learn_vocabulary(docs: DataFrame, text: str, size: int) -> dict[str, int]:
     """Numbers for the most frequent tokens of all texts (equal counts: by spelling); 0 is <unk>, 1 the start."""
-    top = count_words(docs, text).orderBy(F.desc("n"), "word").limit(size - 2).collect()
-    return {r.word: i + 2 for i, r in enumerate(top)}
+    top = stage(count_words(docs, text).orderBy(F.desc("n"), "word").limit(size - 2), "words")  # merged by a task
+    return {r.word: i + 2 for i, r in enumerate(sorted(top.collect(), key=lambda r: (-r.n, r.word)))}
 
 
 def numbered(text: str | None, vocabulary: dict[str, int]) -> np.ndarray:
