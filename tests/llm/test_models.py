@@ -279,3 +279,23 @@ def test_damaged_archives():
     whole = frame + writer.compress(good)
     assert [r["problem"] for r in warc.parse_archive(whole + whole[len(frame):-5])] == [None, "the archive ends inside a frame"]
     assert [r["problem"] for r in warc.parse_archive(b"nonsense")] == ["no frame begins with 0x736e6f6e"]
+
+
+def test_cross_entropy_over_every_word(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(1500)] + ["long" * 20]
+    rows = [(i, " ".join([*rng.choice(words[:40], 30), *rng.choice(words, 30)])) for i in range(200)]
+    rows += [(200, words[-1]), (201, " ".join(words)), (None, "w1 w2 once"), (7, rows[7][1]), (202, ""), (203, "w3 " * 3000)]
+    docs, good = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i,) for i in range(0, 204, 3)], "doc_id long")
+    every = sorted({t for _, x in rows for t in cross_entropy.tokens(x)})
+    vocabulary = {w: i + 2 for i, w in enumerate(every)}
+    table = brute_losses([x for _, x in rows], [i is not None and i % 3 == 0 for i, _ in rows], vocabulary, len(every) + 2)
+    brute = []
+    for i, x in rows:
+        n = [cross_entropy.START] + [vocabulary[t] for t in cross_entropy.tokens(x)]
+        brute.append((-1 if i is None else i, len(n) - 1, *(table[:, n[:-1], n[1:]].mean(axis=1) if len(n) > 1 else (0, 0))))
+    for common, bucket in ((1 << 17, 1 << 21), (50, 1000), (0, 1000)):
+        monkeypatch.setattr(cross_entropy, "COMMON_PAIRS", common)
+        monkeypatch.setattr(cross_entropy, "BUCKET_TOKENS", bucket)
+        found = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.target_loss or 0, r.background_loss or 0) for r in cross_entropy.score_documents(docs, good).collect())
+        assert np.array(found) == pytest.approx(np.array(sorted(brute)), rel=1e-5, abs=1e-5)
