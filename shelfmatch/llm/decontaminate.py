@@ -119,12 +119,14 @@ def similar(window: np.ndarray, item: tuple[np.ndarray, np.ndarray]) -> float:
     return float(both / (len(window) + item[1].sum() - both))
 
 
-def matches(words: np.ndarray, index: Index, tables: list[np.ndarray]) -> dict[int, tuple[float, int]]:
-    """Item: best similarity of a window and the word at which that window starts."""
+def matches(words: np.ndarray, index: Index, tables: list[np.ndarray], whole: bool) -> dict[int, tuple[float, int]]:
+    """Item: best similarity of a window and the word at which that window starts. If ``words`` are the ``whole`` text,
+    they are also compared with the items of more words, as one window and without fingerprints."""
     found: dict[int, tuple[float, int]] = {}
     by_width: dict[int, tuple] = {}
     for size, table in zip(index.sizes, tables, strict=True):
-        if len(words) < size.words:
+        short = len(words) < size.words
+        if short and (not whole or len(words) - size.width + 1 < index.similarity * size.shingles):  # too few to be as similar
             continue
         if size.width not in by_width:
             hashes = shingle_hashes(words, size.width)
@@ -134,6 +136,12 @@ def matches(words: np.ndarray, index: Index, tables: list[np.ndarray]) -> dict[i
         hashes, hits, running = by_width[size.width]
         if not hits[-1]:
             continue
+        if short:
+            for item in size.items:
+                value = similar(hashes, index.counts[item])
+                if value >= index.similarity and value > found.get(item, (0.0, 0))[0]:
+                    found[item] = (value, 0)
+            continue
         n = size.shingles
         starts = np.flatnonzero(hits[n:] > hits[:-n])  # a window without any shingle of the benchmark has similarity 0
         if not len(starts):
@@ -155,12 +163,13 @@ def matches(words: np.ndarray, index: Index, tables: list[np.ndarray]) -> dict[i
     return found
 
 
-def text_pieces(text: str, longest: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(first word, word hashes) of the whole text, in pieces that overlap by ``longest`` words less one."""
+def text_pieces(text: str, longest: int) -> Iterator[tuple[int, np.ndarray, bool]]:
+    """(first word, word hashes, whether that is all) of the whole text, in pieces that overlap by ``longest`` words less
+    one. The last piece of a text of fewer words than that is all of it."""
     data = text.lower().encode()
     limit = PIECE_BYTES
     if len(data) <= limit:
-        yield 0, word_hashes(data)
+        yield 0, word_hashes(data), True
         return
     held, first, at = np.empty(0, np.uint64), 0, 0
     while at < len(data):
@@ -168,7 +177,7 @@ def text_pieces(text: str, longest: int) -> Iterator[tuple[int, np.ndarray]]:
         gap = _GAP.search(data, end)  # never inside a word
         end = gap.start() if gap else len(data)
         words = np.concatenate((held, word_hashes(data[at:end])))
-        yield first, words
+        yield first, words, first == 0 and end == len(data)
         held = words[max(0, len(words) - longest + 1):] if longest > 1 else words[:0]
         first += len(words) - len(held)
         at = end
@@ -194,8 +203,8 @@ def _matcher(items: list[tuple[int, str]], width: int, similarity: float, radius
 
     def held(text: str, tables: list[np.ndarray]) -> list[dict]:
         best: dict[int, tuple[float, int]] = {}
-        for first, words in text_pieces(text, longest):
-            for k, (value, at) in matches(words, index, tables).items():
+        for first, words, whole in text_pieces(text, longest):
+            for k, (value, at) in matches(words, index, tables, whole).items():
                 if value > best.get(ids[k], (0.0, 0))[0]:
                     best[ids[k]] = (value, first + at)
         return [{"item_id": i, "similarity": v, "first_word": at} for i, (v, at) in sorted(best.items())]
@@ -214,7 +223,8 @@ def find_contamination(
     doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """(doc_id, item_id, similarity, first_word) for every document that holds a benchmark item: some window of as many
-    words as the item has weighted Jaccard ``similarity`` or more with it, on bags of ``width``-word shingles.
+    words as the item (the whole text, if it has fewer) has weighted Jaccard ``similarity`` or more with it, on bags of
+    ``width``-word shingles.
 
     Words are runs of letters and digits in lower case. Items of fewer words are one shingle. Windows at every word are
     fingerprinted, but for windows that share no shingle with any item, whose similarity is 0. The 64 bits are split in

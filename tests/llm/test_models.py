@@ -299,3 +299,25 @@ def test_cross_entropy_over_every_word(spark, monkeypatch):
         monkeypatch.setattr(cross_entropy, "BUCKET_TOKENS", bucket)
         found = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.target_loss or 0, r.background_loss or 0) for r in cross_entropy.score_documents(docs, good).collect())
         assert np.array(found) == pytest.approx(np.array(sorted(brute)), rel=1e-5, abs=1e-5)
+
+
+def test_texts_shorter_than_an_item(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    item = [f"w{i}" for i in range(100)]
+    docs = [(n, " ".join(item[:n])) for n in (3, 50, 80, 81, 90, 95, 99)]
+    docs += [(200 + k, " ".join(w for i, w in enumerate(item) if i not in rng.choice(100, k, replace=False))) for k in range(1, 6)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, "a b c d"), (3, " ".join(item[:97]))], "item_id long, text string")
+
+    def whole(text, own):
+        a, b = ({tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (text.split(), own.split()))
+        return len(a & b) / len(a | b)
+
+    brute = {(d, 1): s for d, t in docs if (s := whole(t, " ".join(item))) >= 0.8}
+    assert (95, 1) in brute and (81, 1) in brute and (80, 1) not in brute
+    for piece in (1 << 20, 100):
+        monkeypatch.setattr(decontaminate, "PIECE_BYTES", piece)
+        found = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.find_contamination(table, benchmark).collect()}
+        assert {k: v for k, v in found.items() if k[1] == 1} == pytest.approx(brute)
+        kept = {r.doc_id for r in decontaminate.drop_contaminated(table, benchmark).collect()}
+        assert kept.isdisjoint({d for d, _ in brute}) and {3, 50} <= kept
