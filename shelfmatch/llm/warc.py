@@ -25,6 +25,7 @@ RESPONSE_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nC
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 ARCHIVE_BYTES = 64_000_000  # of payload per archive, about
+DEALS = 8  # how many parts of an archive's size the rows of one id are dealt in
 SAMPLE_ROWS, SAMPLE_BYTES, DICTIONARY_BYTES = 200, 20_000, 64_000  # what the dictionary is trained on, and its size
 LEVEL = 3
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, problem string"
@@ -90,7 +91,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
 
     A null html is an empty payload; a null ``page_id`` leaves the number out of the record's id; a null url leaves
     out its field. Repeated rows are records each. An empty table gives archives without records. An archive holds
-    about ``archive_bytes`` of payload at most.
+    about ``archive_bytes`` of payload at most, also if many rows have one ``page_id`` or none.
 
     Spark's text writer puts the frames into files, so any file system that Spark knows will do and a lost executor's
     half-written file never counts. Its line separator is an empty skippable frame, which every reader passes over.
@@ -118,9 +119,15 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, archive_by
 
     # at least as many as other shuffles have partitions: of fewer, the join would deal its rows once more
     archives = max(-(-size // archive_bytes), int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    deal = F.coalesce("page_id", F.xxhash64("url", "payload")).alias("deal")  # pages without id are spread
-    revisits = plan_revisits(source, least_bytes).withColumnRenamed("page_id", "deal").repartition(archives, "deal")
-    dealt = source.select("*", deal).repartition(archives, "deal").join(revisits, "deal", "left")
+    # rows of an id with many bytes are dealt in parts; such ids are at most DEALS times as many as full archives
+    part = F.sum(F.octet_length("payload") + F.lit(500)) * DEALS / archive_bytes
+    many = stage(source.where("page_id is not null").groupBy("page_id").agg(F.ceil(part).alias("parts")).where("parts > 1"), "many-rows")
+    parts = F.coalesce("parts", F.lit(1))
+    rows = source.withColumn("row", F.monotonically_increasing_id()).join(F.broadcast(many), "page_id", "left")
+    rows = rows.withColumn("deal", F.coalesce("page_id", F.xxhash64("row"))).withColumn("part", F.pmod(F.xxhash64("row"), parts))  # pages without id are spread
+    revisits = plan_revisits(source, least_bytes).join(F.broadcast(many), "page_id", "left")
+    revisits = revisits.select(F.col("page_id").alias("deal"), "last_by_digest", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part")).repartition(archives, "deal", "part")
+    dealt = rows.drop("parts", "row").repartition(archives, "deal", "part").join(revisits, ["deal", "part"], "left")
     refers_to = F.when(F.col("page_id").isNotNull(), F.try_element_at("last_by_digest", F.sha2("payload", 256))).alias("refers_to")
     frames = dealt.select("page_id", "url", "payload", refers_to).mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
     frames.write.option("lineSep", EMPTY_FRAME).option("compression", "none").text(path)

@@ -321,3 +321,18 @@ def test_texts_shorter_than_an_item(spark, monkeypatch):
         assert {k: v for k, v in found.items() if k[1] == 1} == pytest.approx(brute)
         kept = {r.doc_id for r in decontaminate.drop_contaminated(table, benchmark).collect()}
         assert kept.isdisjoint({d for d, _ in brute}) and {3, 50} <= kept
+
+
+def test_archives_of_repeated_ids_are_dealt(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    texts = [rng.bytes(1000).hex() for _ in range(300)]
+    rows = [(7, "u", x) for x in texts] + [(7, "u", texts[0])] * 100 + [(9, "u", texts[0])] + [(None, "u", texts[1])] * 200 + [(100 + i, "u", x) for i, x in enumerate(texts)]
+    path, found = written(spark, tmp_path, rows, archive_bytes=100_000)
+    assert len(found) == len(rows) and all(r.problem is None for r in found)
+    last = {t: 100 + i for i, t in enumerate(texts)}
+    digest = {base64.b32encode(hashlib.sha1(t.encode()).digest()).decode(): t for t in texts}
+    for r in found:
+        refers_to = last[digest[r.payload_digest]]
+        assert r.refers_to == (None if r.page_id in (None, refers_to) else refers_to)
+    files = [sum(1 for _ in warc.parse_archive(bytes(r.content))) for r in spark.read.format("binaryFile").load(path).collect()]
+    assert max(files) <= 150  # 901 rows; 400 of them have one id, 200 none
