@@ -2,6 +2,7 @@
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ TRIALS = 400  # sampled vectors that choose the number of probed lists
 COLUMNS = 16  # dimensions per block
 ERROR = 2.1  # of the test: the larger, the fewer true neighbours are given up
 SPARE = 12  # candidates kept beyond those asked for, until exact scores decide
+BAND = 8  # powers of two: vectors whose lengths differ by no more are searched together
 CELL = 4096  # vectors, and queries, that meet in one group
 
 
@@ -32,6 +34,23 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+def normed(vectors: DataFrame) -> DataFrame:
+    """(id, size, unit): log2 of the length, and the vector with length 1; no square overflows, whatever the values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                matrix = _matrix(batch.column(1))
+                shift = np.frexp(np.abs(matrix).max(axis=1))[1]
+                near = np.ldexp(matrix, -shift[:, None])
+                length = np.sqrt((near**2).sum(axis=1))
+                unit = near / length[:, None]
+                rows = pa.ListArray.from_arrays(pa.array(np.arange(0, unit.size + 1, unit.shape[1]), pa.int32()), pa.array(unit.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shift + np.log2(length)), rows], ["id", "size", "unit"])
+
+    return vectors.select("id", "vec").mapInArrow(run, "id long, size double, unit array<double>")
+
+
 @dataclass
 class Lists:
     """Centroids of vectors that got one more component, which gives all the same length (queries get a 0 there): the
@@ -167,6 +186,22 @@ def scan(index: DataFrame, probes: DataFrame, keep: int) -> DataFrame:
     return vectors.groupBy(*key).cogroup(asks.groupBy(*key)).applyInArrow(run, "query long, id long, distance double")
 
 
+def find_in_band(band: DataFrame, asked: DataFrame, rows: int, size: float, dimensions: int, k: int, recall: float, keep: int) -> DataFrame:
+    """(query, id): for each query the ``keep`` nearest found among the vectors (id, size, unit) of one band, whose
+    greatest length has the logarithm ``size``. Vectors are scaled by that length, and queries have length 1, so what
+    single precision rounds away is small beside the inner products of the band."""
+    vectors = stage(band.select("id", F.transform("unit", lambda x: x * F.pow(F.lit(2.0), F.col("size") - size)).alias("vec")), "band")
+    lists, probes = fit_lists(vectors, rows, 1.0, dimensions, k, recall)
+    index = stage(place(vectors, lists, 1, False).select("list", "id", "rotated"), "index")
+    wanted = stage(place(asked.withColumnRenamed("unit", "vec"), lists, probes, True), "probes")
+    first = stage(scan(index, wanted.where("nth = 0").withColumn("limit", F.lit(float("inf"))), keep), "first")
+    by_query = Window.partitionBy("query").orderBy("distance")
+    limits = first.withColumn("n", F.row_number().over(by_query)).where(F.col("n") == keep).select(F.col("query").alias("id"), F.col("distance").alias("limit"))
+    rest = wanted.where("nth > 0").join(limits, "id", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
+    found = first.union(scan(index, rest, keep))
+    return found.withColumn("n", F.row_number().over(by_query)).where(F.col("n") <= keep).select("query", "id")
+
+
 def search(
     vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95,
     vec_id: str = "vec_id", vector: str = "embedding",
@@ -180,8 +215,9 @@ def search(
     fewer than ``k`` others all of them are returned. An empty table gives an empty result.
 
     Equal vectors are one entry of the index, with their ``k + 1`` smallest ids, so a vector that a third of all rows
-    share is one candidate and one query. The number of probed lists is
-    chosen on the sample for the stated ``recall`` (see ``fit_lists``).
+    share is one candidate and one query. Vectors of very different lengths (in bands of ``2 ** BAND``) have indexes of
+    their own, each asked by every query. The number of probed lists is chosen on the sample for the stated ``recall``
+    (see ``fit_lists``).
     """
     spark = vectors.sparkSession
     rows = vectors.select(quoted(vec_id).cast("long").alias("id"), quoted(vector).cast("array<double>").alias("vec"), is_query.alias("asks"))
@@ -199,18 +235,13 @@ def search(
     asking = stage(rows.where("asks").select("vec", F.col("id").alias("query_id")).join(classes, "vec").select("query_id", "id"), "asking")
     asked = classes.join(asking.select("id").distinct(), "id", "left_semi")
 
-    total = classes.agg(F.count(F.lit(1)), F.max(F.sqrt(dot(F.col("vec"), F.col("vec"))))).first()
-    lists, probes = fit_lists(classes, total[0], total[1], dimensions, k, recall)
+    band = F.floor(F.col("size") / BAND + 0.5).cast("long")
+    scaled = stage(normed(classes).withColumn("band", band), "scaled")
+    asked = stage(normed(asked).select("id", "unit"), "asked")
     keep = k + 1 + SPARE
-    index = stage(place(classes, lists, 1, False).select("list", "id", "rotated"), "index")
-    wanted = stage(place(asked, lists, probes, True), "probes")
-
-    first = stage(scan(index, wanted.where("nth = 0").withColumn("limit", F.lit(float("inf"))), keep), "first")
-    by_query = Window.partitionBy("query").orderBy("distance")
-    limits = first.withColumn("n", F.row_number().over(by_query)).where(F.col("n") == keep).select(F.col("query").alias("id"), F.col("distance").alias("limit"))
-    rest = wanted.where("nth > 0").join(limits, "id", "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf"))))
-    found = first.union(scan(index, rest, keep))
-    best = found.withColumn("n", F.row_number().over(by_query)).where(F.col("n") <= keep).select("query", "id")
+    bands = scaled.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size")).orderBy("band").collect()
+    parts = [find_in_band(scaled.where(F.col("band") == b.band), asked, b.n, b.size, dimensions, k, recall, keep) for b in bands]
+    best = reduce(DataFrame.union, parts)
 
     ends = classes.withColumnsRenamed({"id": "query", "vec": "query_vec"})
     scored = best.join(ends, "query").join(classes, "id").select("query", "id", dot(F.col("query_vec"), F.col("vec")).alias("score"))

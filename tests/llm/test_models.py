@@ -336,3 +336,20 @@ def test_archives_of_repeated_ids_are_dealt(spark, tmp_path):
         assert r.refers_to == (None if r.page_id in (None, refers_to) else refers_to)
     files = [sum(1 for _ in warc.parse_archive(bytes(r.content))) for r in spark.read.format("binaryFile").load(path).collect()]
     assert max(files) <= 150  # 901 rows; 400 of them have one id, 200 none
+
+
+def test_nearest_recall_beside_very_long_vectors(spark):
+    rng = np.random.default_rng(9)
+    matrix = rng.standard_normal((3000, 32))
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    matrix[[5, 6, 7]] *= np.array([[1e5], [1e6], [1e60]])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in nearest.search(table, F.col("vec_id") % 60 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q, near in found.items():
+        scores = matrix @ matrix[q]
+        scores[q] = -np.inf
+        hits += len(near & set(np.argsort(-scores)[:20].tolist()))
+    assert len(found) == 50 and hits / 1000 >= 0.9
