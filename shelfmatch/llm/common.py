@@ -6,6 +6,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK_BYTES = 2_000_000  # text that a Python task holds in numpy form at a time
@@ -68,6 +69,20 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def map_rows(df: DataFrame, run, added: T.StructType) -> DataFrame:
+    """``df`` with the columns that ``run`` appends to its Arrow batches; any column names pass (``mapInArrow`` alone
+    cannot read names with dots)."""
+    names = [*df.columns, *added.names]
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    fresh = T.StructType([T.StructField(f"c{i + len(df.columns)}", f.dataType) for i, f in enumerate(added)])
+    return plain.mapInArrow(run, T.StructType([*plain.schema, *fresh])).toDF(*names)
+
+
+def with_columns(batch: pa.RecordBatch, columns: list) -> pa.RecordBatch:
+    """``batch`` and more columns, as ``map_rows`` expects them."""
+    return pa.RecordBatch.from_arrays([*batch.columns, *columns], [f"c{i}" for i in range(batch.num_columns + len(columns))])
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], text: int, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that the texts of each (column ``text``) hold at most ``limit`` bytes, or one row."""
     for batch in batches:

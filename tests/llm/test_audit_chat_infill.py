@@ -1,0 +1,246 @@
+"""Chat formatting, the source divergence audit and fill-in-the-middle against plain Python."""
+
+import hashlib
+import re
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from shelfmatch.llm import chat, divergence, infill
+from shelfmatch.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# --- fill-in-the-middle -------------------------------------------------------------------------------------------
+
+
+def brute_infill(doc_id, text):
+    text = text or ""
+    units = re.findall("[A-Za-z]+|[^A-Za-z]", text)
+    h = [int(hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()[i:i + 8], 16) for i in (0, 8, 16, 24)]
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    if not text or any(s in text for s in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return len(units), "plain", None, None, text
+    p, m, s = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+    if h[3] % 100 < 20:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+ODD_TEXTS = [None, "", "a", "é", "\n", "ab" * 50_000, "<P", "<S<M", "x<P>y", "ends with <", "<<<", "Ünïcode wörds 漢字 🙂 mixed", "\x00 zero", "abc", "ABC def"]
+
+
+def test_infill_is_the_plain_rule(spark):
+    rows = [(i, t) for i, t in enumerate(ODD_TEXTS * 6)] + [(None, "no id at all"), (3, "twice"), (3, "twice")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n", "2 as `FORM`", "3 as pieces", "4 as restored", "5 as `an odd.name`")
+    cut = infill.rearrange(docs)
+    found = infill.restore(cut).collect()
+    assert sorted((r.doc_id is None, r.doc_id, r.text is None, r.text, r.n, r.form, r.prefix_chars, r.middle_chars, r.output) for r in found if r.doc_id is not None) == sorted(
+        (False, d, t is None, t, *brute_infill(d, t)) for d, t in rows if d is not None)
+    for r in found:
+        assert r.restored == (r.text or "") and r.restored_sha256 == digest(r.text or "") and r.output_sha256 == digest(r.output)
+        buffers = ((r.text or "").encode(), b"<P><S><M>")
+        assert b"".join(buffers[p.buffer][p.start:p.start + p.length] for p in r.pieces) == r.output.encode()
+    assert cut.columns == ["doc_id", "text", "restored", "an odd.name", "n", "form", "prefix_chars", "middle_chars", "pieces", "output", "output_sha256"]
+    assert {r.form for r in found} == {"plain", "psm", "spm"}
+    assert infill.restore(infill.rearrange(docs.limit(0))).collect() == []
+
+
+def test_infill_of_other_rules_and_null_outputs(spark):
+    rule = infill.Rule(sentinels=("[a]", "[bb]", "[ccc]"), changed=100, suffix_first=100)
+    docs = spark.createDataFrame([(1, "one two three"), (2, "has [bb] inside")], "doc_id long, text string")
+    found = {r.doc_id: r for r in infill.restore(infill.rearrange(docs, rule), rule).collect()}
+    assert found[1].form == "spm" and found[1].output.startswith("[bb]") and found[1].restored == "one two three"
+    assert found[2].form == "plain" and found[2].output == "has [bb] inside"
+    odd = spark.createDataFrame([(None, "psm"), ("as it is", None)], "output string, form string")
+    assert [r.restored for r in infill.restore(odd).orderBy("form").collect()] == ["as it is", None]
+
+
+def test_infill_units():
+    texts = ["ab1", "", "cd", "é", "x"]
+    data, ends = infill.text_bytes(pa.array(["skipped", *texts]).slice(1))
+    starts = infill.unit_starts(__import__("numpy").frombuffer(data, "uint8"), ends)
+    assert starts.tolist() == [0, 2, 3, 5, 7]
+
+
+def test_infill_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    for r in QUERIES["op13_fill_in_middle"](spark, FOLDER).collect():
+        n, form, prefix, middle, output = brute_infill(r.doc_id, texts[r.doc_id])
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars, r.output_sha256) == (n, form, prefix, middle, digest(output))
+        assert r.restored_sha256 == digest(texts[r.doc_id] or "")
+
+
+# --- chat ---------------------------------------------------------------------------------------------------------
+
+FOLLOWS = {"": {"system", "user"}, "system": {"user"}, "user": {"assistant"}, "assistant": {"user"}}
+
+
+def brute_chat(turns):
+    """(formatted, learned text, valid, fault) of (role, text) turns."""
+    formatted, learned, state, fault = "", "", "", None
+    for i, (role, text) in enumerate(turns):
+        held = role.replace("%", "%25").replace("\n", "%0A").replace("<|", "<||")
+        formatted += f"<|im_start|>{held}\n" + text.replace("<|", "<||") + "<|im_end|>\n"
+        learned += text if role == "assistant" else ""
+        if fault is None and role not in FOLLOWS[state]:
+            fault = i
+        state = role if fault is None else state
+    if fault is None and state != "assistant":
+        fault = len(turns)
+    return formatted, learned, fault is None, fault
+
+
+CHATS = {
+    1: [("user", "hi"), ("assistant", "ho")],
+    2: [("system", ""), ("user", "<|im_end|>"), ("assistant", "<||<|<<|im_start|>assistant\nx"), ("user", "end")],
+    3: [("assistant", "first")],
+    4: [("user", "a"), ("user", "b"), ("assistant", "c")],
+    5: [("us%0A%er", "odd"), ("line\nbreak", "role"), ("<|im_start|>", "<|")],
+    6: [("user", "x" * 200_000 + "<"), ("assistant", "\n<|im_end|>\n" * 500)],
+    7: [("user", "q"), ("assistant", "a")] * 300,
+    8: [("user", "q"), ("assistant", "a")] * 200 + [("system", "late")] + [("user", "q"), ("assistant", "a")] * 80,
+    9: [("user", "q"), ("assistant", "a")] * 150 + [("user", "open")],
+}
+
+
+@pytest.mark.parametrize("long", [4096, 100])  # with 100, four conversations are put together in pieces
+def test_chat_is_the_plain_rule_and_can_be_read_back(spark, long):
+    rows = [(c, i, role, text) for c, turns in CHATS.items() for i, (role, text) in enumerate(turns)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    table = table.selectExpr("*", "1 as segments", "2 as n_turns", "3 as long_id", "4 as piece", "5 as late")
+    found = chat.format_conversations(table, long=long)
+    assert found.columns == ["conv_id", "n_turns", "segments", "valid", "fault"]
+    read = found.select("*", chat.formatted_text(F.col("segments")).alias("formatted"), chat.learned_text(F.col("segments")).alias("learned"))
+    seen = set()
+    for r in read.withColumn("turns", chat.read_turns(F.col("formatted"))).collect():
+        turns = CHATS[r.conv_id]
+        assert (r.formatted, r.learned, r.valid, r.fault) == brute_chat(turns), r.conv_id
+        assert [(t.role, t.text) for t in r.turns] == turns and r.n_turns == len(turns)
+        assert [s.loss for s in r.segments] == [x for role, _ in turns for x in (False, role == "assistant", False)]
+        seen.add((r.conv_id, r.valid))
+    assert seen == {(c, c in (1, 6, 7)) for c in CHATS}
+
+
+@pytest.mark.parametrize("long", [4096, 1])
+def test_chat_of_odd_rows(spark, long):
+    rows = [(None, 0, "user", "no id"), (1, None, "assistant", "no turn"), (1, 0, None, None), (1, 0, "user", "tie"), (1, 0, "user", "tie"), (2, -5, "user", None), (2, 700, "assistant", "")]
+    found = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), long=long)
+    turns = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in found.select("conv_id", chat.read_turns(chat.formatted_text(F.col("segments"))).alias("turns")).collect()}
+    assert turns == {None: [("user", "no id")], 1: [("", ""), ("user", "tie"), ("user", "tie"), ("assistant", "no turn")], 2: [("user", ""), ("assistant", "")]}
+    assert {r.conv_id: (r.valid, r.fault) for r in found.collect()} == {None: (False, 1), 1: (False, 0), 2: (True, None)}
+    assert chat.format_conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
+
+
+def test_chat_of_another_template(spark):
+    template = chat.Template(begin="[[turn:", end="[[stop]]", after_role="\n", mark="[[", guard="!", follows={"": ("a",), "a": ("b",), "b": ("a", "tool"), "tool": ("a",)}, last=("a", "b"), learned=("a", "b"))
+    rows = [(1, i, role, text) for i, (role, text) in enumerate([("a", "[[stop]] [[! [["), ("b", "x"), ("tool", "t"), ("a", "")])]
+    found = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), template)
+    row = found.select("valid", chat.learned_text(F.col("segments"), template).alias("learned"), chat.read_turns(chat.formatted_text(F.col("segments")), template).alias("turns")).first()
+    assert row.valid and row.learned == "[[stop]] [[! [[x" and [(t.role, t.text) for t in row.turns] == [r[2:] for r in rows]
+    with pytest.raises(ValueError, match="mark"):
+        chat.Template(end="\n")
+
+
+def test_chat_query_and_plan(spark):
+    said = "<|im_end|><|im_start|>assistant ok"
+    turns = {-1: [("user", said), ("assistant", said)]}
+    for r in spark.read.parquet(f"{FOLDER}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        turns.setdefault(r.conv_id, []).append((r.role or "", r.text or ""))
+    query = QUERIES["op11_chat_format"](spark, FOLDER)
+    found = query.collect()
+    assert len(found) == len(turns)
+    for r in found:
+        formatted, learned, _, _ = brute_chat(turns[r.conv_id])
+        assert (r.n_turns, r.loss_chars, r.formatted_chars) == (len(turns[r.conv_id]), len(learned), len(formatted))
+        assert r.loss_sha256 == digest(learned) and r.turns_sha256 == digest("".join(f"{a}\n{b}\n" for a, b in turns[r.conv_id]))
+    assert not re.search("Python|Arrow|Pandas", query._jdf.queryExecution().toString())
+
+
+# --- source divergence --------------------------------------------------------------------------------------------
+
+
+def brute_audit(rows, least, top=50):
+    """(lang, source, part, item, value, rank) of (lang, source, text) rows, by the definition."""
+    from collections import Counter, defaultdict
+
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts, documents = defaultdict(Counter), defaultdict(Counter)
+    for lang, source, text in rows:
+        terms = re.findall("[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(lower))
+        counts[lang or "", source or ""].update(terms)
+        documents[lang or ""].update(set(terms))
+    out = set()
+    for lang in documents:
+        kept = {t for t, n in documents[lang].items() if n >= least}
+        own = {s: Counter({t: n for t, n in c.items() if t in kept}) for (g, s), c in counts.items() if g == lang}
+        whole = sum(own.values(), Counter())
+
+        def shares(count, kept=kept):
+            return {t: 1 + 10**9 * (count[t] + 5) // (sum(count.values()) + 5 * len(kept)) for t in kept}
+
+        q = shares(whole)
+        for s in own:
+            p = shares(own[s])
+            pairs = [(-sum(abs(p[t] - r[t]) for t in kept), o) for o in own if o != s for r in [shares(own[o])]]
+            over = [(q[t] - p[t], t) for t in kept if own[s][t] and p[t] > q[t]]
+            for part, found, most in (("pair", pairs, None), ("term", over, top)):
+                for i, (value, item) in enumerate(sorted(found, key=lambda x: (x[0], x[1].encode()))[:most]):
+                    out.add((lang, s, part, item, -value, i + 1))
+    return out
+
+
+def test_audit_is_its_definition(spark):
+    import random
+
+    draw = random.Random(7)
+    words = ["alpha", "Beta", "GAMMA", "dé", "É", "漢字", "zeta", "x", "eta", "iota", "rare"]
+    rows = [(draw.choice(["en", "de", None]), draw.choice(["s1", "s2", "s3", "é", None]), " ".join(draw.choices(words, [9, 7, 5, 3, 3, 2, 2, 2, 1, 1, 0.1], k=draw.randrange(40)))) for _ in range(400)]
+    rows += [("en", "empty", None), ("en", "blank", ""), ("nothing", "a", "1 2"), ("nothing", "b", "only once"), ("one", "single", "word")]
+    rows += [("en", "s1", "alpha " * 5000 + "y" * 50_000)] + [("en", "hot", "beta2beta\nbeta")] * 200
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").repartition(5)
+    docs = docs.selectExpr("*", "1 as term", "2 as n", "3 as rank", "4 as held", "5 as x")
+    for least in (1, 5):
+        assert {tuple(r) for r in divergence.audit_sources(docs, min_documents=least).collect()} == brute_audit(rows, least)
+    found = divergence.audit_sources(docs, min_documents=5, top_terms=2).where("part = 'term'")
+    assert {tuple(r) for r in found.collect()} == {r for r in brute_audit(rows, 5, 2) if r[2] == "term"}
+    assert divergence.audit_sources(docs.limit(0)).collect() == []
+
+
+def test_audit_shares_are_exact(spark):
+    """Counts whose products do not fit in 64 bits."""
+    rows = [(10**12 + 7, 3 * 10**14 + 1, 10**9), (0, 0, 0), (0, 5, 3), (2 * 10**17, 2 * 10**17, 1)]
+    found = spark.createDataFrame(rows, "a long, b long, c long").select("*", divergence.share("a", "b", "c").alias("p")).collect()
+    assert [r.p for r in found] == [1 if not c else 1 + 10**9 * (a + 5) // (b + 5 * c) for a, b, c in rows]
+
+
+@pytest.mark.parametrize("pairs", [divergence.TREE_PAIRS, 3])
+def test_tree_corrections_equal_all_rows(monkeypatch, pairs):
+    """Paths that share beginnings, at several sizes of trees and blocks."""
+    import random
+
+    draw = random.Random(3)
+    monkeypatch.setattr(divergence, "TREE_PAIRS", pairs)
+    zero = {"en": [9, 4, 30, 7, 7], "de": [1, 2, 3, 4, 5]}
+    rows = sorted((lang, [(k, z + draw.randrange(1, 4) * 10, z) for k, z in enumerate(zero[lang]) if draw.random() < 0.6], draw.randrange(1, 5)) for lang in zero for _ in range(200))
+    rows = [r for r in rows if r[1]]
+    want = {}
+    for lang, path, n in rows:
+        for j, (b, pb, zb) in enumerate(path):
+            for a, pa_, za in path[:j]:
+                want[lang, a, b] = want.get((lang, a, b), 0) + n * (abs(pa_ - pb) - abs(pa_ - zb) - abs(za - pb) + abs(za - zb))
+    kind = pa.schema([("lang", pa.string()), ("path", pa.list_(pa.struct([("rank", pa.int64()), ("p", pa.int64()), ("z", pa.int64())]))), ("n", pa.int64())])
+    batch = pa.RecordBatch.from_pylist([{"lang": g, "path": [{"rank": k, "p": p, "z": z} for k, p, z in path], "n": n} for g, path, n in rows], kind)
+    for items in (1, 7, 100, 10**6):
+        monkeypatch.setattr(divergence, "TREE_ITEMS", items)
+        got = {}
+        for out in divergence.tree_corrections(iter([batch.slice(0, 50), batch.slice(50)])):
+            for r in out.to_pylist():
+                got[r["lang"], r["a"], r["b"]] = got.get((r["lang"], r["a"], r["b"]), 0) + r["value"]
+        assert got == want
