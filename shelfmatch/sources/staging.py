@@ -31,15 +31,36 @@ def application_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/shelfmatch/{spark.sparkContext.applicationId}"
 
 
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables; results that still read them must be written before."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear(spark: SparkSession) -> None:
-    """Delete what this application has staged; results that still read it must be written before."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete all that this application has staged."""
+    drop(spark, [application_folder(spark)])
+
+
+_GIVEN: dict[str, list[str]] = {}  # paths by application
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses, grouped by application so that it can be cleared later."""
-    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _GIVEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def mark(spark: SparkSession) -> int:
+    """A point in time for ``since``."""
+    return len(_GIVEN.get(spark.sparkContext.applicationId, []))
+
+
+def since(spark: SparkSession, begun: int) -> list[str]:
+    """The paths given out since a mark."""
+    return _GIVEN.get(spark.sparkContext.applicationId, [])[begun:]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
