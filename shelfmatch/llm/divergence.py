@@ -13,9 +13,10 @@ from shelfmatch.llm.common import quoted
 from shelfmatch.sources.staging import broadcast_if_small, stage
 
 SCALE = 1_000_000_000
-HELD_TERMS = 200_000  # (group, term) pairs that a task counts before it passes the counts on
+HELD_TERMS = 400_000  # (group, term) pairs that a task counts before it passes the counts on
 TREE_ITEMS = 200_000  # of the paths that go into one tree
 TREE_PAIRS = 1_000_000  # pairs of node and ancestor looked at together
+TASK_PATHS = 20_000  # paths of one task, about
 
 _TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")  # A-Z, a-z and whatever is not ASCII
 
@@ -26,10 +27,12 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs: dict[tuple, Counter] = defaultdict(Counter)
 
     def out():
-        keys = [(*group, term, n, docs[group][term]) for group, found in counts.items() for term, n in found.items()]
-        columns = list(zip(*keys)) or [()] * 5
-        kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+        columns: list[list] = [[], [], [], [], []]
+        for (lang, source), found in counts.items():
+            # both counters have met the terms in the same order
+            for column, values in zip(columns, ([lang] * len(found), [source] * len(found), found.keys(), found.values(), docs[lang, source].values())):
+                column.extend(values)
+        arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()))]
         arrays[2] = arrays[2].cast(pa.string())
         return pa.RecordBatch.from_arrays(arrays, ["lang", "source", "term", "n", "docs"])
 
@@ -37,12 +40,12 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs, sources, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())
         for lang, source, text in zip(langs, sources, texts):
-            found = Counter(_TERM.findall((text.as_py() or b"").lower()))  # bytes: A-Z only
+            found = _TERM.findall((text.as_py() or b"").lower())  # bytes: A-Z only
             group = counts[lang, source]
             held -= len(group)
             group.update(found)
             held += len(group)
-            docs[lang, source].update(found.keys())
+            docs[lang, source].update(iter(dict.fromkeys(found)))  # once a text, in order
             if held > HELD_TERMS:
                 yield out()
                 counts.clear()
@@ -109,10 +112,12 @@ def corrections(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         b = np.repeat(some, depth[some])
         a = starts[row[b]] + np.arange(len(b)) - np.repeat(np.cumsum(depth[some]) - depth[some], depth[some])
         value = through[b] * (np.abs(p[a] - p[b]) - np.abs(p[a] - z[b]) - np.abs(z[a] - p[b]) + np.abs(z[a] - z[b]))
-        keys, at = np.unique(np.stack((lang[row[b]], rank[a], rank[b])), axis=1, return_inverse=True)
-        sums = np.zeros(keys.shape[1], np.int64)
-        np.add.at(sums, at.ravel(), value)
-        yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(keys[0])), pa.array(keys[1]), pa.array(keys[2]), pa.array(sums)], ["lang", "a", "b", "value"])
+        ranks = int(rank.max()) + 1
+        keys, at = np.unique((lang[row[b]] * ranks + rank[a]) * ranks + rank[b], return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, at, value)
+        found = [langs.dictionary.take(pa.array(keys // ranks**2)), pa.array(keys // ranks % ranks), pa.array(keys % ranks), pa.array(sums)]
+        yield pa.RecordBatch.from_arrays(found, ["lang", "a", "b", "value"])
         first = last
 
 
@@ -158,7 +163,8 @@ def audit_sources(docs: DataFrame, min_documents: int = 30, top_terms: int = 50,
 
     paths = entries.groupBy("lang", "term").agg(F.sort_array(F.collect_list(F.struct("rank", "p", "z"))).alias("path"))
     collapsed = stage(paths.groupBy("lang", "path").agg(F.count(F.lit(1)).alias("n")), "paths")
-    ordered = collapsed.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+    begins = F.transform(F.slice("path", 1, 4), lambda x: F.shiftleft(x["rank"], 31) + x["p"])  # enough to part them, and short
+    ordered = collapsed.repartitionByRange(max(1, collapsed.count() // TASK_PATHS), "lang", begins, F.xxhash64("path")).sortWithinPartitions("lang", "path")
     met = ordered.mapInArrow(tree_corrections, "lang string, a long, b long, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
     pairs = both_ways(one_sided(entries, groups).unionByName(met)).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
