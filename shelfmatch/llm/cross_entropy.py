@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmatch.llm.common import HEAVY, quoted, text_blocks
+from shelfmatch.llm.common import quoted, text_blocks
 from shelfmatch.llm.hashing import STEP, mixed
 from shelfmatch.sources.staging import broadcast_if_small, stage
 
@@ -19,9 +19,12 @@ LONGEST_TOKEN = 40  # characters; with a stated vocabulary size, longer ones are
 PRIOR = 50.0  # how many tokens after a context the unigram model is worth
 BATCH_WORDS = 200_000  # distinct words a task holds before it passes their counts on, or forgets their numbers
 TEXT_BYTES = 8_000_000  # that a task numbers at a time
+DEAL_BYTES = 2_000_000  # that a task takes apart into pairs at a time
 SAMPLE_ROWS = 8192  # about, of which the most frequent pairs become common ones
 COMMON_PAIRS = 1 << 17  # at most; counted and scored where the texts are read. Which they are changes the cost only
 BUCKET_TOKENS = 1 << 21  # about, of the other pairs that are looked at together
+KNOWN_WORDS = 1 << 20  # a word of more than this part of all tokens is known to every task, so fewer words than this are
+TEXTS_TOGETHER = 20_000  # about, whose sums are added up by one task
 UNKNOWN, START = 0, 1
 
 _TOKEN = re.compile(r"\w+|[^\w\s]")
@@ -198,7 +201,7 @@ def learn_models(counted: DataFrame, first: np.ndarray, second: np.ndarray, voca
     sums = words.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(n), F.lit(0)) for n in (*names, *[f"{n}_before" for n in names])]).first()
     sizes = np.array(sums[1:3], float)
     wanted = counted.sparkSession.createDataFrame(pa.table({"key": np.unique(np.concatenate((first, second)))}))
-    held = words.join(F.broadcast(wanted), "key", "left_semi").unionByName(words.where(F.col("background") * HEAVY > int(sums[1])))
+    held = words.join(F.broadcast(wanted), "key", "left_semi").unionByName(words.where(F.col("background") * KNOWN_WORDS > int(sums[1])))
     held = held.drop("pair").distinct().orderBy("key").toArrow()
     occur, before = (np.array([held.column(n + end).to_numpy() for n in names], float).reshape(2, -1) for end in ("", "_before"))
     own = counted.where("pair").select("key", *names).toArrow()
@@ -210,35 +213,21 @@ def learn_models(counted: DataFrame, first: np.ndarray, second: np.ndarray, voca
     return models
 
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """-log of the probability of each token after each other one, for both models.
-
-    Matched: the background's counts are scaled to the size of the target's, so that the same prior smooths both
-    alike. A context's counts are filled up by ``PRIOR`` tokens of the unigram model, which itself gets one of each.
-    """
-    sizes = counts.sum(axis=(1, 2))
-    if sizes[0] and sizes[1]:
-        counts = counts * (sizes[0] / sizes)[:, None, None]
-    single = counts.sum(axis=1) + 1
-    single = single / single.sum(axis=1, keepdims=True)
-    context = counts.sum(axis=2, keepdims=True)
-    return -np.log((counts + PRIOR * single[:, None, :]) / (context + PRIOR)).astype(np.float32)
-
-
 _ENTRY = [("first", np.int64), ("second", np.int64), ("row", np.int64), ("n", np.int32), ("before", np.int32), ("target", np.int8)]
+_SUM = [("row", np.int64), ("background", np.float64), ("target", np.float64)]
 
 
-def pack(columns: list[np.ndarray]) -> bytes:
-    return b"".join(c.astype(kind).tobytes() for c, (_, kind) in zip(columns, _ENTRY))
+def pack(columns: list[np.ndarray], kinds: list = _ENTRY) -> bytes:
+    return b"".join(c.astype(kind).tobytes() for c, (_, kind) in zip(columns, kinds))
 
 
-def unpack(data: list[bytes]) -> list[np.ndarray]:
+def unpack(data: list[bytes], kinds: list = _ENTRY) -> list[np.ndarray]:
     """The columns of all packed entries."""
-    width = sum(np.dtype(kind).itemsize for _, kind in _ENTRY)
-    parts: list[list[np.ndarray]] = [[] for _ in _ENTRY]
+    width = sum(np.dtype(kind).itemsize for _, kind in kinds)
+    parts: list[list[np.ndarray]] = [[np.empty(0, kind)] for _, kind in kinds]
     for content in data:
         n, at = len(content) // width, 0
-        for held, (_, kind) in zip(parts, _ENTRY):
+        for held, (_, kind) in zip(parts, kinds):
             held.append(np.frombuffer(content, kind, n, at))
             at += n * np.dtype(kind).itemsize
     return [np.concatenate(p) for p in parts]
@@ -260,14 +249,21 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, vocabulary_size: int
     that are frequent in a sample: these pairs, their words and very common words are known to every task. Each other
     pair goes, with its number in each text, to a bucket of its second word (of both, if the second is known). There
     it meets all its other occurrences and all those of an unknown second word, so the bucket has their counts and
-    gives each text its sum of losses. What is shuffled grows with the corpus, what the driver and tasks hold does not.
+    gives each text its sum of losses. These sums travel packed, one row for each bucket and group of texts, and are
+    added up there. What is shuffled grows with the corpus, what the driver holds does not. A bucket has about
+    ``BUCKET_TOKENS`` entries and those of one unknown word, at most one ``KNOWN_WORDS``-th of all tokens.
+
+    A target text is part of both models, so its own rare words make it look a little more like the target. Other
+    columns of both tables are left out, whatever their names. Equal texts get equal scores.
     """
     source = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text")).withColumn("row", F.monotonically_increasing_id())
     ids = target_ids.toDF("target_id").where("target_id is not null").distinct()
     ids = broadcast_if_small(stage(ids, "targets")).withColumn("target", F.lit(True))
     vocabulary = None if vocabulary_size is None else learn_vocabulary(source, "text", vocabulary_size)
     marked = source.join(ids, source.doc_id == ids.target_id, "left").select("text", F.coalesce("target", F.lit(False)).alias("target"), "row", "doc_id")
-    sample = source.where(F.pmod(F.xxhash64("row"), F.lit(max(1, source.count()))) < SAMPLE_ROWS)
+    rows = source.count()
+    groups = np.uint64(max(1, rows // TEXTS_TOGETHER))
+    sample = source.where(F.pmod(F.xxhash64("row"), F.lit(max(1, rows))) < SAMPLE_ROWS)
     first, second = common_pairs(sample, vocabulary)
     counted = count_tokens(marked, vocabulary, pair_keys(first, second))
     models = learn_models(counted, first, second, vocabulary_size)
@@ -278,7 +274,7 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, vocabulary_size: int
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = Numbers(vocabulary)
         word_before, start = models.before_of(models.before), models.before_of(models.texts[:, None])
-        for batch in text_blocks(batches, 0, TEXT_BYTES):
+        for batch in text_blocks(batches, 0, DEAL_BYTES):
             block = numbered(batch.column(0).to_pylist(), numbers)
             target, rows = np.array(batch.column(1).to_pylist(), bool), batch.column(2).to_numpy()
             keys = block.keys
@@ -306,7 +302,8 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, vocabulary_size: int
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[order][edges[:-1]], pa.int32()), pa.array(data, pa.binary()), *empty, pa.nulls(len(data), pa.int64()), *[pa.nulls(len(data), pa.float64())] * 2], ["bucket", "data", *names])
 
     def meet(rows: pa.Table) -> pa.Table:
-        heads = rows.filter(rows.column("data").is_null()).select(names)
+        heads = rows.filter(rows.column("data").is_null())
+        heads = heads.select(["data", *names]).add_column(0, "texts", pa.array(group_of(heads.column("row").to_numpy())))
         data = [bytes(x) for x in rows.column("data").drop_null().to_pylist()]
         if not data:
             return heads
@@ -324,12 +321,27 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, vocabulary_size: int
         loss = n * models.loss_of(summed(pair, pair.max() + 1, own), occur)
         loss += before * models.before_of(summed(word, len(words), (before.astype(float), (before * target).astype(float))))
         texts, text = np.unique(row, return_inverse=True)
-        sums = [pa.array(np.bincount(text, x, len(texts))) for x in loss]
-        empty = [pa.nulls(len(texts), heads.schema.field(i).type) for i in (1, 2)]
-        return pa.concat_tables([heads, pa.table([pa.array(texts), *empty, *sums], names)])
+        sums = [np.bincount(text, x, len(texts)) for x in loss]
+        group = group_of(texts)
+        order = np.argsort(group, kind="stable")
+        edges = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1))
+        packed = [pack([c[order[a:b]] for c in (texts, *sums)], _SUM) for a, b in zip(edges, edges[1:])]
+        empty = [pa.nulls(len(packed), heads.schema.field(n).type) for n in names]
+        return pa.concat_tables([heads, pa.table([pa.array(group[order[edges[:-1]]]), pa.array(packed, pa.binary()), *empty], heads.schema.names)])
+
+    def add_up(rows: pa.Table) -> pa.Table:
+        heads = rows.filter(rows.column("data").is_null()).select(names).sort_by("row")
+        row, *sums = unpack([bytes(x) for x in rows.column("data").drop_null().to_pylist()], _SUM)
+        at = np.searchsorted(heads.column("row").to_numpy(), row)
+        columns = [heads.column(n).to_numpy() + np.bincount(at, s, heads.num_rows) for n, s in zip(("background_loss", "target_loss"), sums)]
+        return pa.table([heads.column("doc_id"), heads.column("n_tokens"), *map(pa.array, columns)], ["doc_id", "n_tokens", "background", "target"])
+
+    def group_of(row: np.ndarray) -> np.ndarray:
+        return (mixed(row.astype(np.uint64)) % groups).astype(np.int32)
 
     dealt = marked.mapInArrow(deal, f"bucket int, data binary, {kind}")
-    parts = dealt.groupBy("bucket").applyInArrow(meet, kind)
-    texts = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("target_loss").alias("target"), F.sum("background_loss").alias("background"))
+    parts = dealt.groupBy("bucket").applyInArrow(meet, f"texts int, data binary, {kind}")
+    own = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens long, background double, target double"
+    texts = parts.groupBy("texts").applyInArrow(add_up, own)
     means = [F.when(F.col("n_tokens") > 0, F.col(m) / F.col("n_tokens")).alias(f"{m}_loss") for m in ("target", "background")]
     return texts.select("doc_id", "n_tokens", *means).withColumn("score", F.col("target_loss") - F.col("background_loss"))
