@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from shelfmatch.llm.common import quoted, spare, without
-from shelfmatch.sources.staging import stage
+from shelfmatch.sources.staging import broadcast_if_small, stage
 
 POSITION_BITS = 62
 FIRST_BITS = 12  # of the first table of segments
@@ -160,11 +160,13 @@ def shard_documents(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", te
     others follow in the order of a hash of the text and are cut under the smallest capacity. A null text counts as an
     empty one.
     Repeated rows and rows without a ``doc_id`` each get a slot of their own. Columns named like those added are
-    replaced. An empty table gives an empty result.
+    replaced. An empty table gives an empty result. ``docs`` should be a scan of files or a staged table: rows are told
+    apart by where they stand in it.
 
     Equal texts are summed before the shuffle. The driver sees sums over ranges of positions only (at most
     ``MOST_SEGMENTS`` new ones a round); the cuts become literals in a column expression, so no row is joined. Slots
-    are numbered within small buckets of rows and moved by the counts of the buckets before.
+    are numbered within small buckets of rows and moved by the counts of the buckets before. Rows that agree in id and
+    text, if they are many, are dealt to as many buckets as they fill.
     """
     docs = without(docs, "size", "shard", "slot")
     place = position(quoted(text))
@@ -174,13 +176,17 @@ def shard_documents(docs: DataFrame, shards: int = 8, doc_id: str = "doc_id", te
     segments = Segments(groups.where(~F.col("position").isin(giants)) if giants else groups, FIRST_BITS, MOST_SEGMENTS)
     starts = first_positions(segments, cut_points(segments, shards - len(giants))) if segments.total else []
 
-    p, bucket, before = spare(docs, "position", "bucket", "before")
+    p, bucket, before, copies, alike = spare(docs, "position", "bucket", "before", "copies", "alike")
     shard = sum([(F.col(p) >= F.lit(s)).cast("int") for s in starts], F.lit(len(giants)))
     for i, giant in enumerate(giants):
         shard = F.when(F.col(p) == F.lit(giant), F.lit(i)).otherwise(shard)
     buckets = max(1, rows // (SLOT_ROWS * shards))
     placed = docs.withColumn(p, place).withColumn("size", text_size(quoted(text))).withColumn("shard", shard)
-    placed = placed.withColumn(bucket, F.pmod(F.xxhash64(quoted(doc_id), F.col(p)), F.lit(buckets)))
+    key = F.xxhash64(quoted(doc_id), F.col(p))
+    many = stage(docs.withColumn(p, place).groupBy(key.alias(alike)).agg(F.count(F.lit(1)).alias(copies)).where(F.col(copies) > SLOT_ROWS), "many-copies")
+    placed = placed.withColumn(alike, key).join(broadcast_if_small(many), alike, "left")
+    apart = F.pmod(F.monotonically_increasing_id(), F.ceil(F.col(copies) / SLOT_ROWS))  # 0 to the number of buckets they fill
+    placed = placed.withColumn(bucket, F.pmod(F.xxhash64(alike, F.coalesce(apart, F.lit(0))), F.lit(buckets))).drop(alike, copies)
     counts = placed.groupBy("shard", bucket).count()
     earlier = Window.partitionBy("shard").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", bucket, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias(before))
