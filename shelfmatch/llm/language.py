@@ -24,10 +24,10 @@ _LETTER = regex.compile(r"\p{L}")
 _KEPT = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], np.uint8)
 
 
-def grams(data: bytes) -> np.ndarray:
-    """The 4-byte windows of lower-case UTF-8 with a blank at both ends, as numbers; ASCII other than letters counts
-    as blank, and windows with two blanks in a row are left out."""
-    raw = np.concatenate(([32], _KEPT[np.frombuffer(data, np.uint8)], [32])).astype(np.uint32)
+def grams(data: bytes, begins: bool = True, ends: bool = True) -> np.ndarray:
+    """The 4-byte windows of lower-case UTF-8 with a blank before its begin and after its end, as numbers; ASCII other
+    than letters counts as blank, and windows with two blanks in a row are left out."""
+    raw = np.concatenate(([32] * begins, _KEPT[np.frombuffer(data, np.uint8)], [32] * ends)).astype(np.uint32)
     if len(raw) < GRAM:
         return np.empty(0, np.uint32)
     blank = raw == 32
@@ -38,13 +38,10 @@ def grams(data: bytes) -> np.ndarray:
 
 
 def pieces(text: str) -> Iterator[np.ndarray]:
-    """The n-grams of the whole text, in portions."""
+    """The n-grams of the whole text, in portions that overlap by less than one; how it is cut changes none."""
     data = text.lower().encode()
-    if len(data) <= PIECE:
-        yield grams(data)
-        return
-    for at in range(0, len(data), PIECE):
-        yield grams(data[max(0, at - GRAM + 1):at + PIECE])
+    for at in range(0, max(1, len(data)), PIECE):
+        yield grams(data[max(0, at - GRAM + 1):at + PIECE], at == 0, at + PIECE >= len(data))
 
 
 def slots(codes: np.ndarray, size: int) -> list[np.ndarray]:
@@ -87,7 +84,7 @@ class Model:
             hits += self.hits(codes)
         real = np.maximum(0, (hits - n * self.false_positive) / (1 - self.false_positive))
         best = int(real.argmax())
-        return self.languages[best], float(real[best] / real.sum()) if real.sum() else 0.0, float(min(1.0, real[best] / n)) if n else 0.0
+        return self.languages[best], float(real[best] / real.sum()) if real.sum() else 0.0, float(min(1.0, real[best] / n)) if n else 1.0
 
 
 def count_grams(docs: DataFrame, lang: str, text: str) -> DataFrame:
@@ -164,7 +161,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ``coverage`` (its corrected count per n-gram of the text).
 
     ``und`` with score 0 if the text is null or has no letter. A text with letters but no known n-gram gets the first
-    language of the model (that with most n-grams seen) and score 0, as do ties. Columns of these names are replaced.
+    language of the model (that with most n-grams seen) and score 0, as do ties; if it is too short for any n-gram, its
+    coverage is 1. Texts of any length are read whole. Columns of these names are replaced, all others pass; repeated
+    rows stay. An empty table gives an empty result.
     """
     kept = without(docs, "lang_pred", "score", "coverage")
     held, = spare(docs, "found")
@@ -174,6 +173,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 def drop_unidentified(docs: DataFrame, model: Model, least_coverage: float = 0.1, text: str = "text") -> DataFrame:
     """``docs`` without the rows in no learned language: no letter at all, or a best language that holds fewer than
-    ``least_coverage`` of the n-grams. All columns stay as they are; null texts go."""
+    ``least_coverage`` of the n-grams. Texts with letters that are too short for an n-gram stay. All columns stay as
+    they are, whatever their names; null and empty texts go, and all rows if the model has no language."""
     found = _predictor(model)(quoted(text))
     return docs.where((found["lang_pred"] != UNKNOWN) & (found["coverage"] >= least_coverage))
