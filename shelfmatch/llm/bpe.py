@@ -1,10 +1,8 @@
 """Byte-level BPE: encoding by a contiguous array of ranks per word, and decoding."""
 
+import hashlib
 import heapq
 import json
-import sys
-import types
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,6 +116,8 @@ class Codec:
         self.cached = np.zeros(SLOTS, np.uint64)
         self.place, self.count = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
         self.pool, self.used = np.zeros(POOL, np.int32), 0
+        self.letters_at, self.letters_of = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)  # the cached words: place, size
+        self.letters, self.written = np.zeros(POOL, np.uint8), 0
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         wanted = left << 32 | right
@@ -183,20 +183,57 @@ class Codec:
         self.used += ids.size
         return start
 
+    def write(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Keep the letters of words; where each begins."""
+        ends = np.cumsum(sizes)
+        places = self.written + ends - sizes
+        total = int(ends[-1]) if len(ends) else 0
+        if self.written + total > len(self.letters):
+            self.letters = np.concatenate((self.letters, np.zeros(total + POOL, np.uint8)))
+        self.letters[self.written:self.written + total] = raw[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
+        self.written += total
+        return places
+
+    def differing(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, places: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Which words are not, letter by letter, those that are kept at ``places`` and have ``held`` letters. The words
+        stand one after the other in ``raw`` without gaps."""
+        wrong = sizes != held
+        at = np.repeat(np.where(wrong, 0, places - starts), sizes) + np.arange(starts[0], starts[0] + sizes.sum())
+        other = np.flatnonzero(self.letters.take(at, mode="clip") != raw[starts[0]:starts[0] + len(at)]) + starts[0]
+        wrong[np.searchsorted(starts, other, "right") - 1] = True
+        return np.flatnonzero(wrong)
+
     def encode_words(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in the pool, number of ids) of each word raw[start:end]. Words are known by a 64-bit hash; a cache
-        holds those seen last on each of its slots."""
-        if self.used > POOL // 2:
-            self.cached[:], self.used = 0, 0
+        """(place in the pool, number of ids) of each word raw[start:end]; the words stand one after the other.
+
+        A cache holds the words seen last on each of its slots, found by a 64-bit hash. Every word is compared with the
+        word whose ids it gets; those that only share the hash are encoded by themselves.
+        """
+        if max(self.used, self.written) > POOL // 2:
+            self.cached[:], self.used, self.written = 0, 0, 0
+        every = ends - starts
         hashes = piece_hashes(raw, starts, ends)
         slot = (hashes >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
         known = self.cached[slot] == hashes
         place, count = self.place[slot], self.count[slot]
+        letters, held = self.letters_at[slot], self.letters_of[slot]
         fresh = np.flatnonzero(~known)
         _, one, which = np.unique(hashes[fresh], return_index=True, return_inverse=True)
         one = fresh[one]
-        sizes = ends[one] - starts[one]
-        new_place, new_count = np.empty(len(one), np.int64), np.empty(len(one), np.int64)
+        new_place, new_count = self.encode_apart(raw, starts[one], every[one])
+        new_letters = self.write(raw, starts[one], every[one])
+        place[fresh], count[fresh] = new_place[which], new_count[which]
+        letters[fresh], held[fresh] = new_letters[which], every[one][which]
+        self.cached[slot[one]], self.place[slot[one]], self.count[slot[one]] = hashes[one], new_place, new_count
+        self.letters_at[slot[one]], self.letters_of[slot[one]] = new_letters, every[one]
+        others = self.differing(raw, starts, every, letters, held)
+        if len(others):
+            place[others], count[others] = self.encode_apart(raw, starts[others], every[others])
+        return place, count
+
+    def encode_apart(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the pool, number of ids) of words that the cache does not have, those of one length together."""
+        new_place, new_count = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
         by_size = np.argsort(sizes, kind="stable")
         edges = np.flatnonzero(np.diff(sizes[by_size], prepend=-1, append=-1))
         for a, b in zip(edges, edges[1:]):
@@ -204,15 +241,13 @@ class Codec:
             for at in range(a, b, ROWS):
                 words = by_size[at:min(b, at + ROWS)]
                 if size > SHORT:
-                    groups = [(np.array([k]), self.long_word(raw[starts[one[w]]:ends[one[w]]])[None, :]) for k, w in enumerate(words)]
+                    groups = [(np.array([k]), self.long_word(raw[starts[w]:starts[w] + size])[None, :]) for k, w in enumerate(words)]
                 else:
-                    groups = self.merge(self.first[raw[starts[one[words]][:, None] + np.arange(size)]])
+                    groups = self.merge(self.first[raw[starts[words][:, None] + np.arange(size)]])
                 for rows, ids in groups:
                     new_place[words[rows]] = self.store(ids) + np.arange(len(rows)) * ids.shape[1]
                     new_count[words[rows]] = ids.shape[1]
-        place[fresh], count[fresh] = new_place[which], new_count[which]
-        self.cached[slot[one]], self.place[slot[one]], self.count[slot[one]] = hashes[one], new_place, new_count
-        return place, count
+        return new_place, new_count
 
     def encode_block(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; special tokens written in a text are ordinary words here."""
@@ -287,13 +322,14 @@ class Codec:
         return b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
+_CODECS: dict[bytes, Codec] = {}  # of this Python worker, kept with their words from task to task
+
+
 def _codec(source: str) -> Codec:
-    """The codec of this Python worker, kept with its words from task to task."""
-    kept = sys.modules.setdefault("_bpe_codecs", types.ModuleType("_bpe_codecs")).__dict__
-    key = f"codec_{zlib.crc32(source.encode())}"
-    if key not in kept:
-        kept[key] = Codec(source)
-    return kept[key]
+    key = hashlib.sha256(source.encode()).digest()
+    if key not in _CODECS:
+        _CODECS[key] = Codec(source)
+    return _CODECS[key]
 
 
 def encode(docs: DataFrame, source: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, Hamming blocks, then exact shingle similarity."""
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -24,12 +24,29 @@ _IS_WORD = np.array([chr(b).isalnum() or b >= 128 for b in range(128)] + [True]
 _GAP = re.compile(rb"[^0-9A-Za-z\x80-\xff]")
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """A hash per word (a run of letters and digits; bytes of other scripts count as letters) of lower-case UTF-8."""
+@dataclass
+class Words:
+    """The words (runs of letters and digits; bytes of other scripts count as letters) of lower-case UTF-8."""
+
+    data: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def bag(self, first: int, n: int, width: int) -> Counter:
+        """The shingles from a word on, letter by letter, and how often each occurs."""
+        words = [self.data[a:b] for a, b in zip(self.starts[first:first + n + width - 1].tolist(), self.ends[first:first + n + width - 1].tolist())]
+        return Counter(b" ".join(words[i:i + width]) for i in range(n))
+
+
+def words_of(data: bytes) -> Words:
     raw = np.frombuffer(data, np.uint8)
     inside = _IS_WORD[raw]
     edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=np.int8(0), append=np.int8(0)))
-    return piece_hashes(raw, edge[::2], edge[1::2])
+    return Words(data, edge[::2], edge[1::2], piece_hashes(raw, edge[::2], edge[1::2]))
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -84,19 +101,21 @@ class Index:
 
     sizes: list[Size]
     known: np.ndarray  # sorted distinct shingle hashes of all items
-    counts: dict[int, tuple[np.ndarray, np.ndarray]]  # item: its distinct shingles and how often each occurs
+    counts: dict[int, tuple[np.ndarray, np.ndarray]]  # item: the hashes of its shingles and how often each occurs
+    bags: dict[int, Counter]  # item: its shingles, letter by letter
     radius: int
     similarity: float
 
 
 def build_index(items: list[tuple[int, str]], width: int, radius: int, similarity: float) -> Index:
     by_words = defaultdict(list)
-    counts = {}
+    counts, bags = {}, {}
     for item, text in items:
-        words = word_hashes(text.lower().encode())
+        words = words_of(text.lower().encode())
         if len(words):
-            own = shingle_hashes(words, min(width, len(words)))
+            own = shingle_hashes(words.hashes, min(width, len(words)))
             counts[item] = np.unique(own, return_counts=True)
+            bags[item] = words.bag(0, len(own), min(width, len(words)))
             by_words[len(words)].append((item, own))
     sizes = []
     blocks = BITS // BLOCK_BITS
@@ -108,28 +127,43 @@ def build_index(items: list[tuple[int, str]], width: int, radius: int, similarit
                 tables[k, near_values(value >> (BLOCK_BITS * k) & 0xFFFF, radius // blocks)] = True
         sizes.append(Size(n, min(width, n), [m[0] for m in members], prints, np.packbits(tables, axis=1)))
     known = np.unique(np.concatenate([own for own, _ in counts.values()] or [np.empty(0, np.uint64)]))
-    return Index(sizes, known, counts, radius, similarity)
+    return Index(sizes, known, counts, bags, radius, similarity)
 
 
-def similar(window: np.ndarray, item: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard of two bags of shingles: sum of lesser counts over sum of greater counts."""
+def at_most(window: np.ndarray, item: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard of two bags of hashes: sum of lesser counts over sum of greater counts. Shingles that share a
+    hash can only raise it."""
     own, times = np.unique(window, return_counts=True)
     at = np.searchsorted(item[0], own).clip(max=len(item[0]) - 1)
     both = np.minimum(times, item[1][at])[item[0][at] == own].sum()
     return float(both / (len(window) + item[1].sum() - both))
 
 
-def matches(words: np.ndarray, index: Index, tables: list[np.ndarray], whole: bool) -> dict[int, tuple[float, int]]:
+def similar(a: Counter, b: Counter) -> float:
+    """Weighted Jaccard of two bags of shingles."""
+    both = (a & b).total()
+    return both / (a.total() + b.total() - both)
+
+
+def matches(words: Words, index: Index, tables: list[np.ndarray], whole: bool) -> dict[int, tuple[float, int]]:
     """Item: best similarity of a window and the word at which that window starts. If ``words`` are the ``whole`` text,
     they are also compared with the items of more words, as one window and without fingerprints."""
     found: dict[int, tuple[float, int]] = {}
     by_width: dict[int, tuple] = {}
+
+    def verify(item: int, size: Size, first: int, n: int) -> None:
+        value = at_most(by_width[size.width][0][first:first + n], index.counts[item])
+        if value >= index.similarity and value > found.get(item, (0.0, 0))[0]:
+            value = similar(words.bag(first, n, size.width), index.bags[item])
+            if value >= index.similarity and value > found.get(item, (0.0, 0))[0]:
+                found[item] = (value, first)
+
     for size, table in zip(index.sizes, tables, strict=True):
         short = len(words) < size.words
         if short and (not whole or len(words) - size.width + 1 < index.similarity * size.shingles):  # too few to be as similar
             continue
         if size.width not in by_width:
-            hashes = shingle_hashes(words, size.width)
+            hashes = shingle_hashes(words.hashes, size.width)
             at = np.searchsorted(index.known, hashes).clip(max=len(index.known) - 1)
             hits = index.known[at] == hashes
             by_width[size.width] = (hashes, np.concatenate(([0], np.cumsum(hits))), None)
@@ -138,9 +172,7 @@ def matches(words: np.ndarray, index: Index, tables: list[np.ndarray], whole: bo
             continue
         if short:
             for item in size.items:
-                value = similar(hashes, index.counts[item])
-                if value >= index.similarity and value > found.get(item, (0.0, 0))[0]:
-                    found[item] = (value, 0)
+                verify(item, size, 0, len(hashes))
             continue
         n = size.shingles
         starts = np.flatnonzero(hits[n:] > hits[:-n])  # a window without any shingle of the benchmark has similarity 0
@@ -157,36 +189,33 @@ def matches(words: np.ndarray, index: Index, tables: list[np.ndarray], whole: bo
         starts, prints = starts[maybe], prints[maybe]
         for item, own in zip(size.items, size.prints):
             for s in starts[np.bitwise_count(prints ^ own) <= index.radius].tolist():
-                value = similar(hashes[s:s + n], index.counts[item])
-                if value >= index.similarity and value > found.get(item, (0.0, 0))[0]:
-                    found[item] = (value, s)
+                verify(item, size, s, n)
     return found
 
 
-def text_pieces(text: str, longest: int) -> Iterator[tuple[int, np.ndarray, bool]]:
-    """(first word, word hashes, whether that is all) of the whole text, in pieces that overlap by ``longest`` words less
-    one. The last piece of a text of fewer words than that is all of it."""
+def text_pieces(text: str, longest: int) -> Iterator[tuple[int, Words, bool]]:
+    """(number of the first word, words, whether they are all) of the whole text, in pieces that overlap by ``longest``
+    words less one. A text of fewer words than that ends as one piece."""
     data = text.lower().encode()
-    limit = PIECE_BYTES
-    if len(data) <= limit:
-        yield 0, word_hashes(data), True
-        return
-    held, first, at = np.empty(0, np.uint64), 0, 0
-    while at < len(data):
-        end = min(len(data), at + limit)
+    first, at, end = 0, 0, 0
+    while True:
+        end = min(len(data), end + PIECE_BYTES)
         gap = _GAP.search(data, end)  # never inside a word
         end = gap.start() if gap else len(data)
-        words = np.concatenate((held, word_hashes(data[at:end])))
-        yield first, words, first == 0 and end == len(data)
-        held = words[max(0, len(words) - longest + 1):] if longest > 1 else words[:0]
-        first += len(words) - len(held)
-        at = end
+        words = words_of(data[at:end])
+        yield first, words, at == 0 and end == len(data)
+        if end == len(data):
+            return
+        over = len(words) - (longest - 1)
+        if over > 0:
+            at = at + int(words.starts[over]) if longest > 1 else end
+            first += over
 
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, str]]]:
     """The items, in blocks of bounded size. Each block is read by a job of its own; one item is never in two."""
     words = F.size(F.split(F.coalesce(quoted(text), F.lit("")), r"\s+")).cast("long")
-    items = benchmark.select(quoted(item_id).cast("long").alias("item"), quoted(text).alias("text"), words.alias("n")).where("item is not null and text is not null")
+    items = benchmark.select(quoted(item_id).cast("long").alias("item"), quoted(text).alias("text"), words.alias("n")).where("text is not null")
     total = items.agg(F.sum("n")).first()[0] or 0
     blocks = -(-total // BLOCK_SHINGLES)
     for k in range(blocks):
@@ -202,12 +231,12 @@ def _matcher(items: list[tuple[int, str]], width: int, similarity: float, radius
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64())]))
 
     def held(text: str, tables: list[np.ndarray]) -> list[dict]:
-        best: dict[int, tuple[float, int]] = {}
+        best: dict[int | None, tuple[float, int]] = {}
         for first, words, whole in text_pieces(text, longest):
             for k, (value, at) in matches(words, index, tables, whole).items():
                 if value > best.get(ids[k], (0.0, 0))[0]:
                     best[ids[k]] = (value, first + at)
-        return [{"item_id": i, "similarity": v, "first_word": at} for i, (v, at) in sorted(best.items())]
+        return [{"item_id": i, "similarity": v, "first_word": at} for i, (v, at) in sorted(best.items(), key=lambda x: (x[0] is not None, x[0]))]
 
     @F.arrow_udf("array<struct<item_id: long, similarity: double, first_word: long>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -219,7 +248,7 @@ def _matcher(items: list[tuple[int, str]], width: int, similarity: float, radius
 
 
 def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 19,
+    docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 23,
     doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """(doc_id, item_id, similarity, first_word) for every document that holds a benchmark item: some window of as many
@@ -229,11 +258,13 @@ def find_contamination(
     Words are runs of letters and digits in lower case. Items of fewer words are one shingle. Windows at every word are
     fingerprinted, but for windows that share no shingle with any item, whose similarity is 0. The 64 bits are split in
     four blocks; a fingerprint within ``radius`` bits of an item's differs from it in at most ``radius // 4`` bits of
-    some block, so tables of those values miss none. What is left is compared exactly. With ``radius`` 19 a window at
-    the least similarity (expected distance: 10 of 64 bits) is lost once in some thousand.
+    some block, so tables of those values miss none. What is left is compared exactly, word by word. A window at the
+    least similarity is expected to differ in 10 of 64 bits; README has how many such windows the radius loses.
 
-    Null, empty and blank texts and items match nothing, nor do rows of the benchmark without id. Items of one id are
-    all tried; the best counts. Repeated documents give repeated rows. Without items the result is empty.
+    Null, empty and blank texts and items match nothing. Items of one id are all tried, and the best counts (ties: the
+    first window); those without id are one item with a null id. Repeated documents give repeated rows. Texts of any
+    length are read whole, in pieces. Other columns of both tables are left out, whatever their names. Without items
+    the result is empty.
 
     The benchmark is a stated query set: it goes to the tasks in blocks of about ``BLOCK_SHINGLES`` words, with one
     scan of the documents per block; nothing of the documents is shuffled.
@@ -249,7 +280,7 @@ def find_contamination(
 
 
 def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 19,
+    docs: DataFrame, benchmark: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 23,
     text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item (see ``find_contamination``), decided row by row in the

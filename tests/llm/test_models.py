@@ -2,14 +2,16 @@
 
 import base64
 import hashlib
+import math
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from shelfmatch.llm import cross_entropy, decontaminate, language, nearest, quality, warc
+from shelfmatch.llm import cross_entropy, decontaminate, hashing, language, nearest, quality, warc
 from shelfmatch.llm.queries import remainder
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -24,6 +26,22 @@ def test_language_held_out_accuracy(spark):
     assert language.drop_unidentified(docs, model).count() == docs.count()
 
 
+def test_grams_do_not_depend_on_how_a_text_is_cut(monkeypatch):
+    text = "Ein Wort, zwei  Wörter und ein langes Ende " * 20
+    whole = np.concatenate(list(language.pieces(text)))
+    for piece in (7, 64, 101):
+        monkeypatch.setattr(language, "PIECE", piece)
+        assert np.concatenate(list(language.pieces(text))).tolist() == whole.tolist()
+
+
+def test_foreign_texts_go_and_short_ones_stay(spark):
+    model = language.learn(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    rows = [(1, "A."), (2, "Это совсем другой язык"), (3, "1234 ."), (4, None), (5, "これは別の言語です")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in language.drop_unidentified(docs, model).collect()] == [1]
+    assert {r.doc_id: r.lang_pred == "und" for r in language.identify(docs, model).collect()} == {1: False, 2: False, 3: True, 4: True, 5: False}
+
+
 def test_filters_return_every_language_of_a_gram(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     counts = {}
@@ -87,7 +105,43 @@ def brute_losses(texts, targets, vocabulary, size):
             counts[1, before, now] += 1
             counts[0, before, now] += target
             before = now
-    return cross_entropy.losses(counts)
+    return brute_model(counts)
+
+
+def brute_model(counts):
+    """-log p(token | token before) of (target, background) counts, by the stated formula and one number at a time: the
+    background's counts are scaled to the target's size; a context is filled up by 50 tokens of the unigram model, which
+    gets one of each token."""
+    size = len(counts[0])
+    sums = [sum(map(sum, table.tolist())) for table in counts]
+    out = np.zeros((2, size, size))
+    for m, table in enumerate(counts.tolist()):
+        scale = sums[0] / sums[m] if sums[0] and sums[1] else 1.0
+        single = [(scale * sum(row[w] for row in table) + 1) / (scale * sums[m] + size) for w in range(size)]
+        for v, row in enumerate(table):
+            context = scale * sum(row) + 50
+            for w, n in enumerate(row):
+                out[m, v, w] = -math.log((scale * n + 50 * single[w]) / context)
+    return out
+
+
+def test_sums_of_many_texts_are_added_in_groups(spark, monkeypatch):
+    """Groups of few texts and buckets of few tokens give what one group gives; a text of very many pairs, equal texts
+    and one word that always follows a new one are among them."""
+    docs = [(i, " ".join(f"new{i}x{k} hot" for k in range(50))) for i in range(60)] + [(100, " ".join(f"a{k}" for k in range(5000)))] + [(101, "same words here")] * 3 + [(102, None)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    good = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id long")
+
+    def scores():
+        return sorted((r.doc_id, r.n_tokens, r.target_loss or 0, r.background_loss or 0) for r in cross_entropy.score_documents(table, good).collect())
+
+    whole = scores()
+    assert len(whole) == len(docs)
+    for texts, bucket, known in ((7, 500, 1 << 20), (1, 100, 1)):
+        monkeypatch.setattr(cross_entropy, "TEXTS_TOGETHER", texts)
+        monkeypatch.setattr(cross_entropy, "BUCKET_TOKENS", bucket)
+        monkeypatch.setattr(cross_entropy, "KNOWN_WORDS", known)
+        assert np.array(scores()) == pytest.approx(np.array(whole))
 
 
 def test_cross_entropy(spark):
@@ -152,7 +206,8 @@ def test_contamination(spark, monkeypatch):
         docs.append((k, " ".join(parts) if k % 3 else " ".join(parts[:60] + parts[60 + len(item):])))
     table = spark.createDataFrame(docs, "doc_id long, text string")
     benchmark = spark.createDataFrame(items + [(90, None), (None, items[3][1]), (91, " ")], "item_id long, text string")
-    brute = {(d, i): s for d, t in docs for i, x in items if (s := brute_similarity(t, x)) >= 0.8}
+    brute = {(d, i): s for d, t in docs for i, x in [*items, (None, items[3][1])] if (s := brute_similarity(t, x)) >= 0.8}
+    assert {i for _, i in brute} >= {None, 3}
     for blocks, piece in ((200_000, 1 << 20), (60, 300)):
         monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", blocks)
         monkeypatch.setattr(decontaminate, "PIECE_BYTES", piece)
@@ -166,8 +221,29 @@ def test_windows_within_the_radius_are_never_lost():
     rng = np.random.default_rng(5)
     own = rng.integers(0, 2**63, 1, np.uint64)
     for _ in range(300):
-        other = int(own[0]) ^ sum(1 << int(b) for b in rng.choice(64, 19, replace=False))
-        assert any((other >> 16 * k & 0xFFFF) in decontaminate.near_values(int(own[0]) >> 16 * k & 0xFFFF, 4) for k in range(4))
+        other = int(own[0]) ^ sum(1 << int(b) for b in rng.choice(64, 23, replace=False))
+        assert any((other >> 16 * k & 0xFFFF) in decontaminate.near_values(int(own[0]) >> 16 * k & 0xFFFF, 5) for k in range(4))
+
+
+def twins(n):
+    """Two different words of ``n`` letters (a power of two) whose sums of powers agree modulo 2**64 from 1,024 on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return tuple("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+
+
+@pytest.mark.parametrize("same", [False, True])  # True: all words share one hash
+def test_words_that_only_share_a_hash_are_not_held(spark, monkeypatch, same):
+    if same:
+        monkeypatch.setattr(decontaminate, "piece_hashes", lambda raw, starts, ends: np.zeros(len(starts), np.uint64))
+    docs, items = [], []
+    for k, n in enumerate((1024, 2048, 4096)):
+        one, other = twins(n)
+        items.append((k, f"one two three four five {one} six seven eight nine ten"))
+        docs += [(10 * k, f"before one two three four five {other} six seven eight nine ten after"), (10 * k + 1, f"x {items[-1][1]} y")]
+    run = decontaminate._matcher(items, 5, 0.8, 23).func
+    found = next(run(iter([pa.array([t for _, t in docs])]))).to_pylist()
+    assert [[x["item_id"] for x in row] for row in found] == [[], [0], [], [1], [], [2]]
+    assert len({int(h) for n in (1024, 4096) for w in twins(n) for h in hashing.piece_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([n]))}) == 4
 
 
 def test_contamination_on_odd_rows(spark, documents):

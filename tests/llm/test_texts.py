@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from shelfmatch.llm import bpe, common, lines, sharding, simhash
+from shelfmatch.llm import bpe, common, hashing, lines, sharding, simhash
 from shelfmatch.llm.queries import vocabulary
 
 SMALL = "/root/testdata/sf0.001"
@@ -85,6 +85,17 @@ def test_sharding(spark, documents):
     assert odd.count() == documents.count() and sharding.shard_documents(documents.limit(0)).count() == 0
 
 
+def test_slots_of_many_copies_are_numbered_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 20)
+    rows = [(None, "copy")] * 700 + [(5, "same id")] * 300 + [(i, f"text {i}") for i in range(1000)]
+    found = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(found) == len(rows)
+    for shard in {r["shard"] for r in found}:
+        slots = sorted(r.slot for r in found if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+    assert len({r["shard"] for r in found if r.text == "copy"}) == 1
+
+
 def test_a_group_above_the_mean_leaves_no_shard_empty(spark):
     docs = spark.createDataFrame([(i, "x" * 1000) for i in range(50)] + [(100 + i, f"text {i} " * 5) for i in range(200)], "doc_id long, text string")
     loads = {r.shard: r["sum(size)"] for r in sharding.shard_documents(docs).groupBy("shard").sum("size").collect()}
@@ -175,6 +186,31 @@ def test_bpe_of_long_words_and_texts(codecs, monkeypatch):
         assert ours.encode(text).tolist() == ids and ours.decode(np.array(ids)) == text
 
 
+@pytest.mark.parametrize("same", [False, True])  # True: all words of one length share one hash
+def test_bpe_of_words_that_only_share_a_hash(codecs, monkeypatch, same):
+    _, library = codecs
+    codec = bpe.Codec(vocabulary())
+    if same:
+        monkeypatch.setattr(bpe, "piece_hashes", lambda raw, starts, ends: (ends - starts).astype(np.uint64) << np.uint64(50))
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    words = ["".join("ab"[b ^ flip] for b in bits[:n]) for n in (1024, 2048, 4096) for flip in (0, 1)]
+    texts = [" ".join(words), *words, *reversed(words), "these words have their own lengths and letters", "those swear huge"]
+    for _ in range(2):  # the second time from the cache
+        for text, ids in zip(texts, codec.encode_all(texts)):
+            assert ids.tolist() == library.encode(text, add_special_tokens=False).ids and codec.decode(ids) == text
+
+
+def test_piece_hashes_depend_on_the_bytes_alone():
+    rng = np.random.default_rng(2)
+    raw = rng.integers(97, 100, 3000).astype(np.uint8)
+    starts = rng.integers(0, 2000, 4000)
+    ends = starts + rng.integers(0, 12, 4000)
+    ends[:20] = starts[:20] + 700
+    found = hashing.piece_hashes(raw, starts, ends)
+    pieces = [raw[a:b].tobytes() for a, b in zip(starts, ends)]
+    assert len(set(zip(pieces, found.tolist()))) == len(set(pieces)) == len(set(found.tolist()))
+
+
 def test_bpe_columns(documents):
     source = vocabulary()
     found = bpe.decode(bpe.encode(documents, source, ids="n"), source, ids="n")
