@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 
 from shelfmatch import constants as K
 from shelfmatch.functions import similarity, text
-from shelfmatch.operators import cleaning, corpus
+from shelfmatch.operators import cleaning, corpus, zones
 from shelfmatch.operators.embedding import HashedTokens, encode
 from shelfmatch.sources.staging import broadcast_if_small, stage
 
 MIN_CELL_ROWS = 50  # rows of one side in the smallest join cells
 TASK_PAIRS = 2_000_000  # pairs one join task should look at
 TASK_ROWS = 500_000  # rows one join task should hold
+MOST_TASKS = 20_000  # of the pair join; beyond that a task looks at more pairs, never at more rows together
 CELLS_PER_TASK = 4
+ZONED_PAIRS = 100_000_000  # pairs of a block from which it is joined zone by zone
 SLACK = 1e-6  # stored float vectors have length one only up to rounding
 
 PROFILE_FIELDS = ("name_only", "own_brand", "quantity", "price", "product_text")
@@ -82,15 +84,46 @@ def block_sizes(exploded: DataFrame) -> DataFrame:
     return sizes.where((F.col("n_a") > 0) & (F.col("n_b") > 0)).withColumn("n_pairs", F.col("n_a").cast("double") * F.col("n_b"))
 
 
-def _cells(rows: DataFrame, hot: DataFrame, side: str) -> DataFrame:
-    """Put key rows into join cells. A hot block becomes a grid: a row picks its line (or column) by its id and is
-    repeated along it, so that every pair of the block meets in exactly one cell."""
+def _cells(rows: DataFrame, grid: DataFrame, side: str, on: list[str]) -> DataFrame:
+    """Put key rows into join cells. What ``grid`` splits becomes a grid: a row picks its line (or column) by its id and
+    is repeated along it, so that every pair meets in exactly one cell."""
     own, other = ("cell_a", "cell_b") if side == "a" else ("cell_b", "cell_a")
     parts = {"cell_a": F.coalesce("parts_a", F.lit(1)), "cell_b": F.coalesce("parts_b", F.lit(1))}
-    spread = rows.join(hot, "block_key", "left").withColumn(own, F.pmod(F.xxhash64(F.lit("cell"), "product_id"), parts[own]).cast("int"))
+    spread = rows.join(grid, on, "left" if on == ["block_key"] else "inner")
+    spread = spread.withColumn(own, F.pmod(F.xxhash64(F.lit("cell"), "product_id"), parts[own]).cast("int"))
     return spread.withColumn(other, F.explode(F.sequence(F.lit(0), (parts[other] - 1).cast("int")))).drop("parts_a", "parts_b")
 
 
+class Layout(NamedTuple):
+    """How the key rows of both sides are put into join cells; the tables are staged."""
+
+    sizes: DataFrame  # of the blocks that are joined whole
+    zoned: DataFrame  # (block_key, larger): the blocks that are joined zone by zone
+    zone_pairs: DataFrame  # the pairs of zones that are joined
+    pairs: int  # that meet in all cells
+    tasks: int
+    cell_rows: int
+
+
+def layout(rows: DataFrame, threshold: float | None) -> Layout:
+    """Measure the work of the pair join and lay it out. ``rows``: side, block_key and the numbers of the score."""
+    spark = rows.sparkSession
+    # one narrow row per block; staged, as the work is measured before the join is laid out
+    sizes = stage(block_sizes(rows.select("side", "block_key", F.lit(1).alias("copies"))), "block-sizes")
+    large = F.col("n_pairs") >= ZONED_PAIRS if threshold is not None else F.lit(False)
+    zoned = stage(sizes.where(large).select("block_key", F.greatest("n_a", "n_b").alias("larger")), "zoned-blocks")
+    inside = rows.join(broadcast_if_small(zoned), "block_key").withColumn("zone", zones.zone(F.col("larger")))
+    pairs_of_zones = stage(zones.zone_pairs(zones.zone_maps(inside), (threshold or 0) - SLACK), "zone-pairs")
+    whole = sizes.where(~large)
+    work = whole.select("n_a", "n_b").unionByName(pairs_of_zones.select("n_a", "n_b"))
+    sums = work.agg(F.sum(F.col("n_a").cast("double") * F.col("n_b")).alias("pairs"), F.sum(F.col("n_a") + F.col("n_b")).alias("rows")).first()
+    pairs, size = int(sums["pairs"] or 0), sums["rows"] or 0
+    # a fixed number by work: sized by bytes, the narrow rows would land in a few tasks that then make all the pairs
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(shuffle, min(MOST_TASKS, max(pairs // TASK_PAIRS, size // TASK_ROWS)))
+    return Layout(whole, zoned, pairs_of_zones, pairs, tasks, max(MIN_CELL_ROWS, math.isqrt(pairs // (CELLS_PER_TASK * tasks))))
+
+
 def _total(embedding, fuzz, jacc):
     return similarity.weighted_score(embedding, fuzz, jacc, F.col("quantity_score"), F.col("price_score"))
 
@@ -112,7 +145,8 @@ def candidate_pairs(profiles: DataFrame, threshold: float | None = None) -> Data
 
     Only ids, numbers and 128-bit hashes of the keys are exploded, repeated along the grid and shuffled. A pair that
     meets in several blocks is kept in the first of its shared keys only, which needs no ``distinct``. The ceiling
-    takes the cosine as one, the names as alike as their lengths allow and the token sets as nested, so it is exact.
+    takes the cosine as one, the names as alike as their lengths allow and the token sets as nested, so it is exact. With
+    a threshold, large blocks are joined zone by zone (``zones``), without the zones whose pairs are all below it.
     """
     if threshold is not None:  # without these two there is no score
         profiles = profiles.where("quantity is not null and price is not null")
@@ -122,27 +156,24 @@ def candidate_pairs(profiles: DataFrame, threshold: float | None = None) -> Data
         F.size("name_tokens").alias("n_tokens"), hashed.alias("keys"),
     )
     rows = narrow.withColumn("block_key", F.explode("keys"))
-    # one narrow row per block; staged, as the work is measured before the join is laid out
-    sizes = stage(block_sizes(rows.select("side", "block_key", F.lit(1).alias("copies"))), "block-sizes")
-    work = sizes.agg(F.sum("n_pairs").alias("pairs"), F.sum(F.col("n_a") + F.col("n_b")).alias("rows")).first()
-    pairs, size = int(work["pairs"] or 0), work["rows"] or 0
-    # a fixed number by work: sized by bytes, the narrow rows would land in a few tasks that then make all the pairs
-    shuffle = int(profiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(shuffle, pairs // TASK_PAIRS, size // TASK_ROWS)
-    cell_rows = max(MIN_CELL_ROWS, math.isqrt(pairs // (CELLS_PER_TASK * tasks)))  # small parts of a fair share
+    plan = layout(rows, threshold)
 
-    def parts(n):
-        return F.ceil(F.col(n) / cell_rows).cast("int")
+    def parts(n):  # small parts of a fair share
+        return F.ceil(F.col(n) / plan.cell_rows).cast("int")
 
-    is_hot = (F.col("n_a") > cell_rows) | (F.col("n_b") > cell_rows)
-    hot = sizes.where(is_hot).select("block_key", parts("n_a").alias("parts_a"), parts("n_b").alias("parts_b"))
-    hot = broadcast_if_small(stage(hot, "hot-blocks"))  # beyond that a shuffle join, whose skewed side AQE splits
-    cell = ["block_key", "cell_a", "cell_b"]
+    is_hot = (F.col("n_a") > plan.cell_rows) | (F.col("n_b") > plan.cell_rows)
+    grid = [parts("n_a").alias("parts_a"), parts("n_b").alias("parts_b")]
+    hot = broadcast_if_small(stage(plan.sizes.where(is_hot).select("block_key", *grid), "hot-blocks"))  # else a shuffle join, whose skewed side AQE splits
+    zoned, pairs_of_zones = broadcast_if_small(plan.zoned), broadcast_if_small(plan.zone_pairs)
+    cell = ["block_key", "zone_a", "zone_b", "cell_a", "cell_b"]
 
     def placed(side):
-        own = _cells(rows.where(F.col("side") == side).drop("side"), hot, side)
+        mine = rows.where(F.col("side") == side).drop("side")
+        whole = _cells(mine.join(zoned, "block_key", "left_anti"), hot, side, ["block_key"]).withColumns({"zone_a": F.lit(""), "zone_b": F.lit("")})
+        inside = mine.join(zoned, "block_key").withColumn(f"zone_{side}", zones.zone(F.col("larger"))).drop("larger")
+        own = whole.unionByName(_cells(inside, pairs_of_zones.select("block_key", "zone_a", "zone_b", *grid), side, ["block_key", f"zone_{side}"]))
         names = {c: f"{c}_{side}" for c in own.columns if c not in cell}
-        return own.withColumnsRenamed(names).repartition(tasks, *cell)
+        return own.withColumnsRenamed(names).repartition(plan.tasks, *cell)
 
     met = placed("a").hint("merge").join(placed("b"), cell)
     first_shared = F.array_min(F.array_intersect("keys_a", "keys_b"))
