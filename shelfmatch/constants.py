@@ -33,10 +33,12 @@ MULTIPACK_FACTORS = {"ml": 1 / 1000, "cl": 1 / 100, "l": 1.0, "liter": 1.0, "g":
 # Size patterns. (?U) makes \s and \d cover the same Unicode classes as in a Python pattern.
 NUMBER = r"\d+(?:[.,]\d+)?"
 UNIT_WORDS = r"kg|kilo|g|gr|gram|ml|liter|l|stuk|stuks|st\.?|pak|pakket|bos|cups?|zakjes?"
-SIZE_PATTERN = rf"(?U)({NUMBER})\s*({UNIT_WORDS})"
-STRICT_SIZE_PATTERN = rf"(?U)({NUMBER})\s*({UNIT_WORDS})(?!\w)"
-TRAILING_SIZE_PATTERN = rf"(?iU)\s*(?:{NUMBER}\s*(?:{UNIT_WORDS})|\d+\s*-?\s*pack)\s*$"
-MULTIPACK_PATTERN = rf"(?U)(\d+)\s*x\s*({NUMBER})\s*([a-zA-Z]+)"
+# A number may begin only where no digit stands before it, and blanks before it only where a run of blanks begins: other
+# beginnings can match nothing more, and without them a text of any length is read in linear time.
+SIZE_PATTERN = rf"(?U)(?<!\d)({NUMBER})\s*({UNIT_WORDS})"
+STRICT_SIZE_PATTERN = rf"(?U)(?<!\d)({NUMBER})\s*({UNIT_WORDS})(?!\w)"
+TRAILING_SIZE_PATTERN = rf"(?iU)(?:(?<!\s)\s++|(?<![\s\d]))(?:{NUMBER}\s*(?:{UNIT_WORDS})|\d+\s*+(?:-\s*+)?pack)\s*$"
+MULTIPACK_PATTERN = rf"(?U)(?<!\d)(\d+)\s*x\s*({NUMBER})\s*([a-zA-Z]+)"
 
 # Nutrient labels in a backslash-separated nutrient text -> column. The order is that of the output columns.
 NUTRIENT_LABELS = {

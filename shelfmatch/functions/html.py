@@ -23,31 +23,73 @@ def joined(fragment: Column) -> Column:
     return plain(F.regexp_replace(F.replace(fragment, F.lit("&nbsp;"), F.lit(" ")), r"(?sU)\s*<[^>]*>\s*", ""))
 
 
-def _open(tag: str, css: str) -> str:
-    return rf'<{tag}\b[^>]*\bclass="(?:[^"]*\s)?{css}(?:\s[^"]*)?"[^>]*>'
+_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_TAG_END = r"(?=[\s/>])"
+
+
+def _open(tag: str, css: str | None = None) -> str:
+    """An opening tag in any case; with ``css``, one of that class, in any quotes or none."""
+    kind = "" if css is None else (
+        rf"""(?=(?:[^\s>"']++|"[^"]*+"|'[^']*+'|\s)*?\s(?i:class)\s*=\s*(?:"(?:[^"]*\s)?{css}(?:\s[^"]*)?"|'(?:[^']*\s)?{css}(?:\s[^']*)?'|{css}{_TAG_END}))""")
+    return rf"<(?i:{tag}){_TAG_END}{kind}{_ATTRIBUTES}>"
+
+
+def visible(html: Column) -> Column:
+    """The page without comments."""
+    return F.when(html.contains("<!--"), F.regexp_replace(html, "(?s)<!--.*?-->", "")).otherwise(html)
+
+
+def _parts(markup: Column, tag: str) -> Column:
+    """The markup cut before each tag of this name, opening or closing."""
+    return F.split(markup, rf"(?=</?(?i:{tag}){_TAG_END})", -1)
+
+
+def _depth(before: Column, part: Column, tag: str) -> Column:
+    """How many elements of this name are open behind the tag that a part begins with."""
+    opens = part.rlike(rf"\A{_open(tag)}") & ~part.rlike(r"\A<[^>]*/>")
+    closes = part.rlike(rf"\A</(?i:{tag}){_TAG_END}")
+    return before + opens.cast("int") - closes.cast("int")
+
+
+def until_close(markup: Column, tag: str) -> Column:
+    """What stands behind an opening tag up to its own closing tag, or to the end if it has none."""
+
+    def step(now, part):
+        depth = _depth(now["depth"], part, tag)
+        end = F.when(now["end"] >= 0, now["end"]).when(depth == 0, now["i"]).otherwise(F.lit(-1))
+        return F.struct(depth.alias("depth"), (now["i"] + 1).alias("i"), end.alias("end"))
+
+    def read(parts):
+        begin = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("i"), F.lit(-1).alias("end"))
+        end = F.aggregate(parts, begin, step, lambda now: F.when(now["end"] >= 0, now["end"]).otherwise(now["i"]))
+        return F.array_join(F.slice(parts, F.lit(1), end), "")
+
+    return let(_parts(markup, tag), read)
 
 
 def element(html: Column, tag: str, css: str | None = None) -> Column:
-    """Inner markup of the first such element that holds none of its own kind; null if there is none."""
-    pattern = f"(?s){_open(tag, css) if css else rf'<{tag}\b[^>]*>'}(.*?)</{tag}>"
-    whole = F.regexp_extract(html, pattern, 0)  # one search of the page; what it finds is read again, not the page
-    return let(whole, lambda found: F.when(found != "", F.regexp_extract(found, pattern, 1)))
+    """Inner markup of the first such element, with all elements inside it; null if there is none."""
+    return let(F.get(F.split(html, _open(tag, css), 2), F.lit(1)), lambda rest: until_close(rest, tag))
 
 
 def anchors(html: Column, css: str | None = None) -> Column:
     """Hrefs of the anchors in page order, of one class if given; empties dropped."""
-    tags = F.regexp_extract_all(html, F.lit(r"<a\b[^>]*>"), F.lit(0))
-    if css:
-        pattern = _open("a", css)
-        tags = F.filter(tags, lambda t: t.rlike(pattern))
-    hrefs = F.transform(tags, lambda t: F.regexp_extract(t, r'\bhref="([^"]*)"', 1))
+    tags = F.regexp_extract_all(html, F.lit(_open("a", css)), F.lit(0))
+    hrefs = F.transform(tags, lambda t: F.btrim(F.regexp_extract(t, r"""(?i)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", 1), F.lit("\"'")))
     return F.filter(hrefs, lambda h: h != "")
 
 
 def anchors_inside(html: Column, container: str, css: str | None = None) -> Column:
-    """The same, only for anchors inside elements of kind ``container``."""
-    pattern = rf"(?s)<{container}\b[^>]*>.*?</{container}>"
-    return F.flatten(F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), lambda part: anchors(part, css)))
+    """The same, only for anchors inside elements of kind ``container``, however deep."""
+    none = F.array().cast("array<string>")
+
+    def step(now, part):
+        depth = F.greatest(F.lit(0), _depth(now["depth"], part, container))
+        found = F.when(depth > 0, F.concat(now["found"], anchors(part, css))).otherwise(now["found"])
+        return F.struct(depth.alias("depth"), found.alias("found"))
+
+    begin = F.struct(F.lit(0).alias("depth"), none.alias("found"))
+    return F.aggregate(_parts(html, container), begin, step, lambda now: now["found"])
 
 
 def absolute(base: Column, href: Column) -> Column:
@@ -91,23 +133,23 @@ def portion(html: Column) -> Column:
 
 
 def ingredients(html: Column) -> Column:
-    """First paragraph in the body of the section titled "Ingrediënten", without that word as a prefix."""
-    heading = rf"<h3[^>]*>{K.INGREDIENTS_TITLE}</h3>"
-    section = F.get(F.filter(F.split(html, "</article>"), lambda part: part.rlike(heading)), F.lit(0))
+    """First paragraph in the body of the section titled "Ingrediënten", without that word as a prefix. A body without a
+    paragraph has none, whatever follows it."""
+    heading = rf"{_open('h3')}\s*{K.INGREDIENTS_TITLE}\s*</(?i:h3)\s*>"
+    section = F.get(F.filter(F.split(html, r"</(?i:article)\s*>"), lambda part: part.rlike(heading)), F.lit(0))
     after = F.get(F.split(section, heading, 2), F.lit(1))
-    body = F.get(F.split(after, _open("div", "body"), 2), F.lit(1))
-    return F.regexp_replace(text_or_null(joined(element(body, "p"))), K.INGREDIENTS_PREFIX, "")
+    return F.regexp_replace(text_or_null(joined(element(element(after, "div", "body"), "p"))), K.INGREDIENTS_PREFIX, "")
 
 
 def nutrients(html: Column) -> Column:
     """Label -> value map of the nutrition list; only items with exactly two spans count, a later label wins."""
-    span = F.lit(r"(?s)<span\b[^>]*>(.*?)</span>")
+    span = F.lit(rf"(?s){_open('span')}(.*?)</(?i:span)\s*>")
 
     def pairs(section):
         items = F.split(section, _open("div", "nutrition-item"))
         spans = F.transform(
             F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))),
-            lambda item: F.transform(F.regexp_extract_all(item, span, F.lit(1)), plain),
+            lambda item: F.transform(F.regexp_extract_all(until_close(item, "div"), span, F.lit(1)), plain),
         )
         return F.filter(spans, lambda s: F.size(s) == 2)
 

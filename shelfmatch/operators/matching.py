@@ -98,8 +98,8 @@ class Layout(NamedTuple):
     """How the key rows of both sides are put into join cells; the tables are staged."""
 
     sizes: DataFrame  # of the blocks that are joined whole
-    zoned: DataFrame  # (block_key, larger): the blocks that are joined zone by zone
-    zone_pairs: DataFrame  # the pairs of zones that are joined
+    zoned: DataFrame | None  # (block_key, larger): the blocks that are joined zone by zone, if any
+    zone_pairs: DataFrame | None  # the pairs of zones that are joined
     pairs: int  # that meet in all cells
     tasks: int
     cell_rows: int
@@ -110,12 +110,16 @@ def layout(rows: DataFrame, threshold: float | None) -> Layout:
     spark = rows.sparkSession
     # one narrow row per block; staged, as the work is measured before the join is laid out
     sizes = stage(block_sizes(rows.select("side", "block_key", F.lit(1).alias("copies"))), "block-sizes")
-    large = F.col("n_pairs") >= ZONED_PAIRS if threshold is not None else F.lit(False)
-    zoned = stage(sizes.where(large).select("block_key", F.greatest("n_a", "n_b").alias("larger")), "zoned-blocks")
-    inside = rows.join(broadcast_if_small(zoned), "block_key").withColumn("zone", zones.zone(F.col("larger")))
-    pairs_of_zones = stage(zones.zone_pairs(zones.zone_maps(inside), (threshold or 0) - SLACK), "zone-pairs")
-    whole = sizes.where(~large)
-    work = whole.select("n_a", "n_b").unionByName(pairs_of_zones.select("n_a", "n_b"))
+    largest = sizes.agg(F.max("n_pairs")).first()[0] or 0
+    zoned, pairs_of_zones, whole = None, None, sizes
+    work = sizes.select("n_a", "n_b")
+    if threshold is not None and largest >= ZONED_PAIRS:
+        large = F.col("n_pairs") >= ZONED_PAIRS
+        zoned = stage(sizes.where(large).select("block_key", F.greatest("n_a", "n_b").alias("larger")), "zoned-blocks")
+        inside = rows.join(broadcast_if_small(zoned), "block_key").withColumn("zone", zones.zone(F.col("larger")))
+        pairs_of_zones = stage(zones.zone_pairs(zones.zone_maps(inside), threshold - SLACK), "zone-pairs")
+        whole = sizes.where(~large)
+        work = whole.select("n_a", "n_b").unionByName(pairs_of_zones.select("n_a", "n_b"))
     sums = work.agg(F.sum(F.col("n_a").cast("double") * F.col("n_b")).alias("pairs"), F.sum(F.col("n_a") + F.col("n_b")).alias("rows")).first()
     pairs, size = int(sums["pairs"] or 0), sums["rows"] or 0
     # a fixed number by work: sized by bytes, the narrow rows would land in a few tasks that then make all the pairs
@@ -164,14 +168,19 @@ def candidate_pairs(profiles: DataFrame, threshold: float | None = None) -> Data
     is_hot = (F.col("n_a") > plan.cell_rows) | (F.col("n_b") > plan.cell_rows)
     grid = [parts("n_a").alias("parts_a"), parts("n_b").alias("parts_b")]
     hot = broadcast_if_small(stage(plan.sizes.where(is_hot).select("block_key", *grid), "hot-blocks"))  # else a shuffle join, whose skewed side AQE splits
-    zoned, pairs_of_zones = broadcast_if_small(plan.zoned), broadcast_if_small(plan.zone_pairs)
-    cell = ["block_key", "zone_a", "zone_b", "cell_a", "cell_b"]
+    cell = ["block_key", "cell_a", "cell_b"]
+    if plan.zoned is not None:
+        zoned, pairs_of_zones = broadcast_if_small(plan.zoned), broadcast_if_small(plan.zone_pairs)
+        cell += ["zone_a", "zone_b"]
 
     def placed(side):
-        mine = rows.where(F.col("side") == side).drop("side")
-        whole = _cells(mine.join(zoned, "block_key", "left_anti"), hot, side, ["block_key"]).withColumns({"zone_a": F.lit(""), "zone_b": F.lit("")})
-        inside = mine.join(zoned, "block_key").withColumn(f"zone_{side}", zones.zone(F.col("larger"))).drop("larger")
-        own = whole.unionByName(_cells(inside, pairs_of_zones.select("block_key", "zone_a", "zone_b", *grid), side, ["block_key", f"zone_{side}"]))
+        own = mine = rows.where(F.col("side") == side).drop("side")
+        if plan.zoned is None:
+            own = _cells(mine, hot, side, ["block_key"])
+        else:
+            whole = _cells(mine.join(zoned, "block_key", "left_anti"), hot, side, ["block_key"]).withColumns({"zone_a": F.lit(""), "zone_b": F.lit("")})
+            inside = mine.join(zoned, "block_key").withColumn(f"zone_{side}", zones.zone(F.col("larger"))).drop("larger")
+            own = whole.unionByName(_cells(inside, pairs_of_zones.select("block_key", "zone_a", "zone_b", *grid), side, ["block_key", f"zone_{side}"]))
         names = {c: f"{c}_{side}" for c in own.columns if c not in cell}
         return own.withColumnsRenamed(names).repartition(plan.tasks, *cell)
 

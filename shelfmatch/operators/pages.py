@@ -45,7 +45,7 @@ def product_rows(pages: DataFrame) -> DataFrame:
     The fields come out of a one-row ``inline``: a filter on them stays above it, while through a projection the
     optimizer would push it down and read every page again for the filter.
     """
-    page = F.col("html")
+    page = html.visible(F.col("html"))
     read = F.struct(
         html.title(page, "title").alias("name"), html.price(page).alias("price"), html.portion(page).alias("portion"),
         html.ingredients(page).alias("ingredients"), html.nutrients(page).alias("nutrients"),
