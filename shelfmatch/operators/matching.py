@@ -15,6 +15,7 @@ from shelfmatch import constants as K
 from shelfmatch.functions import similarity, text
 from shelfmatch.operators import cleaning, corpus, zones
 from shelfmatch.operators.embedding import HashedTokens, encode
+from shelfmatch.sources import vector_store
 from shelfmatch.sources.staging import broadcast_if_small, stage
 
 MIN_CELL_ROWS = 50  # rows of one side in the smallest join cells
@@ -42,12 +43,15 @@ def profile_key():
     return F.sha2(F.concat_ws("\u0001", *shown), 256)
 
 
-def prepare(products: DataFrame, make_encoder=HashedTokens, null_blocks="match") -> Catalogues:
+def prepare(products: DataFrame, make_encoder=HashedTokens, null_blocks="match", store: str | None = None, encoder_id: str | None = None) -> Catalogues:
     """Collapse copies to profiles, encode each profile once and give it its block keys.
 
     ``products``: side ('a' or 'b'), product_id, href, name_only, own_brand, quantity, price, product_text.
-    ``null_blocks='match'`` lets all products without block tokens meet, ``'drop'`` leaves them out.
+    ``null_blocks='match'`` lets all products without block tokens meet, ``'drop'`` leaves them out. With ``store``, the
+    path of a vector store, only texts without a vector of the encoder named ``encoder_id`` are encoded.
     """
+    if store is not None and not encoder_id:
+        raise ValueError("a vector store needs the name of the encoder")
     cleaning.require(products, "side", "product_id", "href", *PROFILE_FIELDS)
     keys = ["side", "product_id"]
     members = stage(products.withColumn("profile_key", profile_key()), "members")
@@ -63,7 +67,10 @@ def prepare(products: DataFrame, make_encoder=HashedTokens, null_blocks="match")
     no_keys = F.array(F.lit(corpus.NULL_BLOCK)) if null_blocks == "match" else F.array().cast("array<string>")
     # the encoder is the costly part: dealt over all tasks, by the keys that the join below needs
     tasks = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    encoded = encode(kept.repartition(tasks, *keys), "product_text", make_encoder)
+    if store is None:
+        encoded = encode(kept.repartition(tasks, *keys), "product_text", make_encoder)
+    else:
+        encoded = vector_store.with_vectors(kept, store, encoder_id, make_encoder)
     profiles = encoded.join(blocks, keys, "left").select(
         *keys, "profile_key", "copies", "name_only", "own_brand", "quantity", "price", "embedding",
         F.array_distinct(text.tokens(F.col("name_only"))).alias("name_tokens"),

@@ -7,7 +7,8 @@ from shelfmatch.functions import features, nutrition, text, units
 from shelfmatch.operators import cleaning, ordered
 from shelfmatch.plans.registry import query
 from shelfmatch.plans.views import table, view
-from shelfmatch.sources import catalogues, incremental
+from shelfmatch.operators.embedding import HashedTokens
+from shelfmatch.sources import catalogues, incremental, vector_store
 from shelfmatch.sources.staging import fresh_path
 
 PRICE_COLUMN = "price_2026_03_14"
@@ -143,6 +144,22 @@ def embedding_store(spark, folder):
     return elements(catalogues.read_vectors(spark, path, "en"))
 
 
+@query("vector_store_runs", """
+select 1 as run, count(distinct coalesce(name_only, '')) as n_vectors from listing where shop = 0
+union all select 2, count(distinct coalesce(name_only, '')) from listing where shop = 0
+union all select 3, count(distinct coalesce(name_only, '')) from listing""", ("listing",))
+def vector_store_runs(spark, folder):
+    """Vectors in the store after a run over one shop, the same run again, and one over both shops."""
+    path, names = fresh_path(spark, "vector-store"), view(spark, folder, "listing").select("shop", "name_only")
+    counts = None
+    for run, shops in ((1, [0]), (2, [0]), (3, [0, 1])):
+        vector_store.add_missing(names.where(F.col("shop").isin(shops)), path, "hashed-tokens-64", HashedTokens, "name_only")
+        stored = spark.read.parquet(f"{path}/*").agg(F.count(F.lit(1)).alias("n_vectors")).first()["n_vectors"]
+        row = spark.range(1).select(F.lit(run).alias("run"), F.lit(stored).cast("long").alias("n_vectors"))
+        counts = row if counts is None else counts.unionAll(row)
+    return counts
+
+
 @query("csv_round_trip", "select p_partkey, p_name || ', \"' || p_type || '\"' as name, round(p_retailprice, 2) as price, p_size as size, "
        "cast(null as varchar) as note from part")
 def csv_round_trip(spark, folder):

@@ -7,6 +7,8 @@ from shelfmatch.functions import html, nutrition
 from shelfmatch.operators import pages
 from shelfmatch.plans.registry import query
 from shelfmatch.plans.views import table, view
+from shelfmatch.sources.staging import fresh_path
+from shelfmatch.streaming.incremental import load_pages_with_rejects
 
 LINKS = (("links", """
 select page_id, url, pos - 1 as pos, hrefs[pos] as href
@@ -145,3 +147,17 @@ select url as href, case when html not like '%price-large%' then 'no price' else
 from product_pages where html not like '%price-large%' or html like '%spoor%'""", ("product_pages",))
 def rejected_product_pages(spark, folder):
     return pages.rejected_pages(pages.product_rows(view(spark, folder, "product_pages")))
+
+
+@query("streamed_load", """
+select url as href, case when html not like '%price-large%' then 'no price' when html like '%spoor%' then 'bad nutrient' end as problem
+from product_pages""", ("product_pages",))
+def streamed_load(spark, folder):
+    """Pages that arrive in two portions are loaded as a stream, run after run; each ends as a product or as a reject."""
+    source, products, rejects, checkpoint = (fresh_path(spark, n) for n in ("pages-in", "products", "rejects", "stream-state"))
+    stored = view(spark, folder, "product_pages").select("url", "html", F.col("sub_cat").cast("string").alias("sub_cat"))
+    for part in (0, 1, 2):  # the last brings nothing
+        stored.where(F.pmod(F.xxhash64("url"), F.lit(2)) == part).write.mode("append").parquet(source)
+        load_pages_with_rejects(spark, source, products, rejects, checkpoint, "url string, html string, sub_cat string")
+    good = spark.read.parquet(products).select("href", F.lit(None).cast("string").alias("problem"))
+    return good.unionByName(spark.read.parquet(rejects).select("href", "problem"))

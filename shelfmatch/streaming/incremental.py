@@ -4,10 +4,11 @@ The checkpoint remembers which files are done, so a run after a failure continue
 row by row, hence no state and no watermark.
 """
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfmatch import schema
 from shelfmatch.operators import pages
+from shelfmatch.sources import staging
 
 
 def load_new_pages(spark: SparkSession, source: str, target: str, checkpoint: str) -> None:
@@ -19,3 +20,24 @@ def load_new_pages(spark: SparkSession, source: str, target: str, checkpoint: st
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+
+
+def load_pages_with_rejects(spark: SparkSession, source: str, products: str, rejects: str, checkpoint: str, columns: str = schema.PAGES) -> None:
+    """Process all page files not seen before, then stop: usable rows go to ``products``, one folder per batch and
+    ``sub_cat``; pages that are not usable go to ``rejects``, one folder per batch, as (href, sub_cat, problem).
+
+    A batch replaces what it has written before, so a batch that failed between the two sinks, or is run again after a
+    failure, leaves each of its pages in one of them, once. Its pages are parsed once, into a staged table.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        begun = staging.mark(batch.sparkSession)
+        rows = staging.stage(pages.product_rows(batch), "parsed-pages")
+        pages.usable_products(rows).write.mode("overwrite").partitionBy("sub_cat").parquet(f"{products}/batch={batch_id}")
+        bad = rows.where("problem is not null").select("href", "sub_cat", "problem")
+        bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        staging.drop(batch.sparkSession, staging.since(batch.sparkSession, begun))
+
+    arriving = spark.readStream.schema(columns).parquet(source)
+    query = arriving.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
