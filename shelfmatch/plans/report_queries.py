@@ -10,6 +10,8 @@ from shelfmatch.plans.catalogue_queries import CLEAN_B, FEATURES_A, features_a,
 from shelfmatch.plans.match_queries import BEST, rounded
 from shelfmatch.plans.registry import query
 from shelfmatch.plans.views import table, view
+from shelfmatch.sources import label_store
+from shelfmatch.sources.staging import fresh_path
 
 # --- labels and evaluation ---
 
@@ -142,6 +144,24 @@ def label_upsert(spark, folder):
     return labels.upsert_labels(given, first.unionByName(second), ["doc_id"])
 
 
+@query("label_store_versions", """
+select 1 as store_version, doc_id, cast(quality as integer) as label from labels
+union all
+select 2, coalesce(l.doc_id, u.doc_id), case when u.doc_id is not null then u.label else l.quality end
+from labels l full join (select doc_id, cast(case when n_chars > 2000 then 1 else 0 end as integer) as label from documents where lang = 'de') u
+  on l.doc_id = u.doc_id""")
+def label_store_versions(spark, folder):
+    """The stored labels before and after the verdicts on the German documents were saved."""
+    path = fresh_path(spark, "labels")
+    given = table(spark, folder, "labels").select("doc_id", F.col("quality").cast("int").alias("label"))
+    label_store.create(given, path, ["doc_id"])
+    verdict = (F.col("n_chars") > 2000).cast("int").alias("label")
+    docs = table(spark, folder, "documents").where(F.col("lang") == "de")
+    label_store.update(docs.select("doc_id", verdict, F.lit(1).cast("bigint").alias("version")), path)
+    saved = [label_store.read(spark, path, n).select(F.lit(n).alias("store_version"), "doc_id", "label") for n in (1, 2)]
+    return saved[0].unionByName(saved[1])
+
+
 REVIEW_KEY = ("product_id_a", "product_id_b")
 REVIEW = BEST + (("matches", "select product_id as product_id_a, * exclude (product_id) from best"),) + strata("matches", REVIEW_KEY, "")
 REVIEW_COLUMNS = ("href", "name_only_a", "name_only_b", "quantity_a", "quantity_b", "price_a", "price_b")
