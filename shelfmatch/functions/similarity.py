@@ -1,9 +1,6 @@
 """Pair similarities and the weighted match score."""
 
-from typing import Iterator
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -12,6 +9,7 @@ from pyspark.sql import types as T
 
 from shelfmatch import constants as K
 from shelfmatch.functions.numbers import ratio
+from shelfmatch.functions.sequences import common_lengths
 
 # The two batch functions are marked nondeterministic only so that the optimizer neither evaluates them twice nor moves
 # them below the filters that spare them work.
@@ -82,43 +80,16 @@ def fuzz_ceiling(left_length: Column, right_length: Column) -> Column:
     return F.when(total > 0, 2 * F.least(left_length, right_length) / total).otherwise(F.lit(1.0))
 
 
-def _char_bits(value: str) -> dict[str, int]:
-    bits = {}
-    for i, char in enumerate(value):
-        bits[char] = bits.get(char, 0) | (1 << i)
-    return bits
-
-
-def common_length(bits: dict[str, int], size: int, other: str) -> int:
-    """Longest common subsequence of a text of ``size`` characters, given as bits per character, and another text.
-
-    Bit-parallel: one row of the comparison table is one integer, so a step costs a few integer operations.
-    """
-    mask = (1 << size) - 1
-    row = mask
-    for char in other:
-        hits = row & bits.get(char, 0)
-        row = ((row + hits) | (row - hits)) & mask
-    return size - row.bit_count()
-
-
-@F.pandas_udf(T.DoubleType())
-def _text_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for lefts, rights in batches:
-        # pairs of one cell arrive together and share names; both caches live for one batch only
-        bits, known = {}, {}
-        scores = []
-        for pair in zip(lefts, rights):
-            score = known.get(pair)
-            if score is None and None not in pair:
-                left, right = pair
-                if left not in bits:
-                    bits[left] = _char_bits(left)
-                total = len(left) + len(right)
-                score = 2 * common_length(bits[left], len(left), right) / total if total else 1.0
-                known[pair] = score
-            scores.append(score)
-        yield pd.Series(scores, index=lefts.index, dtype="Float64")
+@F.arrow_udf(T.DoubleType())
+def _text_ratio(lefts: pa.Array, rights: pa.Array) -> pa.Array:
+    pairs = list(zip(lefts.to_pylist(), rights.to_pylist()))
+    # pairs of one cell arrive together and many are alike; each is compared once per batch
+    known = list(dict.fromkeys(pair for pair in pairs if None not in pair))
+    total = np.array([len(left) + len(right) for left, right in known], dtype=np.float64)
+    common = common_lengths([left for left, _ in known], [right for _, right in known])
+    ratios = np.where(total > 0, 2 * common / np.where(total > 0, total, 1), 1.0)
+    score = dict(zip(known, ratios.tolist()))
+    return pa.array([score.get(pair) for pair in pairs], pa.float64())
 
 
 def fuzz_ratio(left_sorted: Column, right_sorted: Column) -> Column:

@@ -1,12 +1,15 @@
 """Column builders, value by value."""
 
+import random
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfmatch import constants as K
-from shelfmatch.functions import features, html, nutrition, similarity, text, units
+from shelfmatch.functions import features, html, nutrition, sequences, similarity, text, units
 from shelfmatch.operators import cleaning
 
 
@@ -187,8 +190,34 @@ def table_lcs(a, b):
 @settings(max_examples=300, deadline=None)
 @given(st.text("abcé ", max_size=90), st.text("abcé ", max_size=90))
 def test_common_length_equals_the_table(a, b):
-    found = similarity.common_length(similarity._char_bits(a), len(a), b)
-    assert found == table_lcs(a, b) == similarity.common_length(similarity._char_bits(b), len(b), a)
+    found = sequences.common_length(sequences.char_bits(a), len(a), b)
+    assert found == table_lcs(a, b) == sequences.common_length(sequences.char_bits(b), len(b), a)
+
+
+@pytest.mark.parametrize("table", [sequences.TABLE, 40])
+def test_common_lengths_of_many_pairs(monkeypatch, table):
+    """Texts of all lengths around a word, repeated ones, with letters beyond 16 bits, in chunks that are split or not."""
+    monkeypatch.setattr(sequences, "TABLE", table)
+    monkeypatch.setattr(sequences, "CHUNK", 300)
+    draw = random.Random(5)
+
+    def some(most):
+        return "".join(draw.choices("ab é\U0001f9c0\u4e00xyz", k=draw.choice([0, 1, 63, 64, 65, draw.randrange(most)])))
+
+    lefts = [some(90) for _ in range(1000)] + ["a" * 64, "a" * 64, "ab" * 32, "\ud800a", "", ""]
+    rights = [draw.choice(lefts) if draw.random() < 0.3 else some(140) for _ in range(1000)] + ["a" * 600, "b", "ba" * 32, "a", "", "x"]
+    found = sequences.common_lengths(lefts * 2, rights * 2).tolist()
+    assert found == [table_lcs(a, b) for a, b in zip(lefts, rights)] * 2
+    assert sequences.common_lengths([], []).tolist() == []
+
+
+def test_long_names_are_compared_in_time():
+    draw = random.Random(6)
+    long = ["".join(draw.choices("abcdefghij ", k=33_000)) for _ in range(2)]
+    begun = time.perf_counter()
+    found = sequences.common_lengths(long, long[::-1])
+    assert found[0] == found[1] > 15_000
+    assert time.perf_counter() - begun < 3  # two comparisons
 
 
 def test_missing_columns_fail_early(spark):
