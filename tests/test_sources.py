@@ -1,5 +1,6 @@
 """Files in and out, resumed loads, the page stream and the category tree."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmatch import schema
@@ -33,6 +34,34 @@ def test_field_catalogue_from_csv(spark, tmp_path):
     assert (row["price_per_unit"], row["own_brand"], row["vegan"]) == (4.0, True, False)
 
 
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "shop [1] a"
+    folder.mkdir()
+    (folder / "1.csv").write_text("href,name\nhttp://y,Melk\n")
+    (folder / "2 {x}.csv").write_text("\nname,href,price\n\"Kaas, oud\",http://z,2.5\nBrood,http://w,x\n")
+    (folder / "3.csv").write_text("href,name\nhttp://v,Sap\n")
+    (folder / "4.csv").write_text("")
+    path = str(tmp_path / "shop*a")
+
+    def rows(columns, **options):
+        return {tuple(r) for r in catalogues.read_csv(spark, path, columns, **options).collect()}
+
+    names = {("http://y", "Melk"), ("http://z", "Kaas, oud"), ("http://w", "Brood"), ("http://v", "Sap")}
+    assert rows("href string, name string") == rows("href string, name string", strict=True) == names
+    assert rows("name string, price double") == {("Melk", None), ("Kaas, oud", 2.5), ("Brood", None), ("Sap", None)}
+    with pytest.raises(ValueError, match="1.csv lacks the columns price"):
+        rows("name string, price string", strict=True)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        catalogues.read_csv(spark, str(tmp_path / "shop*a" / "2*"), "name string, price double", strict=True).collect()
+
+
+def test_csv_without_lines(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("")
+    assert catalogues.read_csv(spark, str(tmp_path), "href string, price double").collect() == []
+    (tmp_path / "2.csv").write_text("")
+    assert catalogues.read_csv(spark, str(tmp_path), "href string, price double").collect() == []
+
+
 def test_csv_export_of_lists(spark, tmp_path):
     df = spark.createDataFrame([(1, ["a", "b"], "x,y")], "id int, tokens array<string>, t string")
     for _ in range(2):  # the second write replaces the first
