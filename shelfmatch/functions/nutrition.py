@@ -18,12 +18,8 @@ def _last(entries: Column, field: str, value: str) -> Column:
     return F.try_element_at(F.filter(entries, lambda e: e[field] == value), F.lit(-1))["value"]
 
 
-def from_text(value: Column) -> Column:
-    """Struct of the nutrients in a text like ``basis\\energy (n kcal)\\Vet1,5g\\...\\Zout0,1g\\x``.
-
-    The piece after the last ``g\\`` is not read. Labels must fit exactly, a later duplicate wins, and a number that
-    cannot be read is null.
-    """
+def _texts(value: Column, body) -> Column:
+    """``body`` of a struct with what a nutrient text says for each column, as text; null where it says nothing."""
     def entry(piece):
         return F.struct(
             F.regexp_extract(piece, _ENTRY, 1).alias("label"), F.regexp_extract(piece, _ENTRY, 2).alias("value")
@@ -35,18 +31,39 @@ def from_text(value: Column) -> Column:
         return F.transform(listed, lambda piece: entry(F.btrim(piece, F.lit(_BLANKS))))
 
     def columns(parts):
-        kcal = text_or_null(F.regexp_extract(F.get(parts, F.lit(1)), r"(\d+)\s*kcal", 1)).try_cast("double")
+        kcal = text_or_null(F.regexp_extract(F.get(parts, F.lit(1)), r"(\d+)\s*kcal", 1))
         return let(
             entries(parts),
-            lambda found: F.struct(
-                kcal.alias("kcal"),
-                *[decimal_comma(_last(found, "label", label)).alias(name) for label, name in K.NUTRIENT_LABELS.items()],
-            ),
+            lambda found: body(F.struct(
+                kcal.alias("kcal"), *[_last(found, "label", label).alias(name) for label, name in K.NUTRIENT_LABELS.items()]
+            )),
         )
 
     return let(F.split(value, r"\\", 3), columns)
 
 
+TEXT_COLUMNS = ("kcal", *K.NUTRIENT_LABELS.values())
+MISSING, UNREADABLE = "missing", "no number"
+
+
+def from_text(value: Column) -> Column:
+    """Struct of the nutrients in a text like ``basis\\energy (n kcal)\\Vet1,5g\\...\\Zout0,1g\\x``.
+
+    The piece after the last ``g\\`` is not read. Labels must fit exactly, a later duplicate wins, and a number that
+    cannot be read is null; ``reasons_for_null`` says why a value is.
+    """
+    return _texts(value, lambda found: F.struct(*[decimal_comma(found[name]).alias(name) for name in TEXT_COLUMNS]))
+
+
+def reasons_for_null(value: Column) -> Column:
+    """Struct of why ``from_text`` has no value for a column: the text does not name it, or what stands there is no
+    number; null where there is a value."""
+    def reason(text):
+        return F.when(text.isNull(), MISSING).when(decimal_comma(text).isNull(), UNREADABLE)
+
+    return _texts(value, lambda found: F.struct(*[reason(found[name]).alias(name) for name in TEXT_COLUMNS]))
+
+
 def _column_of(label: Column) -> Column:
     """Column a page label stands for, by the first part it contains; null for other labels."""
     parts = iter(K.PAGE_NUTRIENT_PARTS.items())

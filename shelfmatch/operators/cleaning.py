@@ -37,6 +37,19 @@ def unreadable_numbers(df: DataFrame, columns=NUMERIC) -> DataFrame:
     return df.agg(*lost)
 
 
+def nutrient_problems(raw: DataFrame) -> DataFrame:
+    """For listings with a nutrient text: (column, reason, n_values), how many values each column lacks and why, zeros
+    included; one pass. Listings without a text are no food and do not count."""
+    reasons = raw.where("nutrients is not null").select(nutrition.reasons_for_null(F.col("nutrients")).alias("why"))
+    kinds = [(c, why) for c in nutrition.TEXT_COLUMNS for why in (nutrition.MISSING, nutrition.UNREADABLE)]
+    counts = reasons.agg(*[F.count_if(F.col(f"why.{c}") == why).alias(f"n{i}") for i, (c, why) in enumerate(kinds)])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(why).alias("reason"), F.col(f"n{i}").alias("n_values"))
+        for i, (c, why) in enumerate(kinds)
+    ])
+    return counts.select(F.inline(rows))
+
+
 def text_sizes(df: DataFrame, strict=False) -> DataFrame:
     """Quantity and unit from the portion text, in kg, l or pieces; a multipack sets the quantity but not the unit."""
     portion, word = F.col("portion"), F.col("_word")

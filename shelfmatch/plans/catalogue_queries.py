@@ -296,6 +296,28 @@ def unreadable_numbers(spark, folder):
     return cleaning.unreadable_numbers(view(spark, folder, "raw_a"))
 
 
+def _nutrient_text(label):
+    found = f"list_filter(entries, lambda e: regexp_extract(e, '^(.+?)([0-9.,]+)$', 1) = '{label}')[-1]"
+    return f"nullif(regexp_extract({found}, '^(.+?)([0-9.,]+)$', 2), '')"
+
+
+# Labels of the nutrient text as in the constants, stated again so that the check does not share them.
+NUTRIENT_TEXTS = (("nutrient_texts", "select nullif(regexp_extract(parts[2], '([0-9]+)\\s*kcal', 1), '') as kcal, " + ", ".join(
+    f"{_nutrient_text(label)} as {name}" for label, name in (
+        ("Koolhydraten", "carbs_g"), ("Vet", "fat_g"), ("Eiwitten", "protein_g"), ("Zout", "salt_g"),
+        ("waarvan verzadigd", "saturated_fat_g"), ("waarvan suikers", "sugars_g"), ("Voedingsvezel", "fiber_g"))
+) + " from (select *, list_transform(pieces[:len(pieces) - 1], lambda p: trim(p)) as entries from split_b) s"),)
+
+
+@query("nutrient_problems", " union all ".join(
+    f"""select '{c}' as "column", 'missing' as reason, count(*) filter (where {c} is null) as n_values from nutrient_texts
+union all select '{c}', 'no number', count(*) filter (where {c} is not null and try_cast(replace({c}, ',', '.') as double) is null) from nutrient_texts"""
+    for c in B_COLUMNS), ("raw_b",), CLEAN_B[:1] + NUTRIENT_TEXTS)
+def nutrient_problems(spark, folder):
+    """Why values of the shop with nutrient texts are null."""
+    return cleaning.nutrient_problems(view(spark, folder, "raw_b"))
+
+
 @query("parse_nutrients", f"select p_partkey, {', '.join(B_COLUMNS)} from clean_b", ("raw_b",), CLEAN_B)
 def parse_nutrients(spark, folder):
     rows = view(spark, folder, "raw_b").na.drop(subset=["nutrients"])

@@ -62,7 +62,7 @@ select p_partkey, case when p_partkey % 3 = 0 then '' else 'AH ' end || p_name |
     when 0 then null
     when 1 then 'geen waarden'
     when 2 then 'Per 100g' || chr(92) || 'Energie ' || cast(p_size * 4 as string) || ' kJ'
-    when 3 then 'Per 100g' || chr(92) || 'Energie (' || cast(p_size as string) || ' kcal)' || chr(92) || 'Vet' || cast(p_size as string) || ',5g' || chr(92)
+    when 3 then 'Per 100g' || chr(92) || 'Energie (' || cast(p_size as string) || ' kcal)' || chr(92) || 'Vet' || case p_size % 8 when 0 then '1.' else '' end || cast(p_size as string) || ',5g' || chr(92)
          || 'waarvan verzadigd1g' || chr(92) || 'Eiwitten <0,5g' || chr(92) || 'Zout0,1g'
     else 'Per 100g' || chr(92) || 'Energie (' || cast(p_size * 12 + 60 as string) || ' kcal)' || chr(92) || 'Vet' || cast(p_size as string) || 'g' || chr(92)
          || 'Koolhydraten12,5g' || chr(92) || 'waarvan suikers2g' || chr(92) || 'Voedingsvezel3g' || chr(92) || 'Eiwitten4g' || chr(92) || 'Zout0,1g' || chr(92) || 'x' end as nutrients

@@ -178,6 +178,19 @@ def test_dot_product_and_fuzz_ratio(spark):
     assert [r[2] for r in found[2:]] == [None, 1.0]
 
 
+def test_reasons_for_missing_nutrients(spark):
+    texts = [r"Per 100g\Energie (30 kcal)\Vet1.234,5g\Eiwitten <0,5g\Zout0,1g\x", "geen waarden", "", None, r"a\b\Vet.g\Vet2g\x"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, nutrients string")
+    why = [r[0] for r in rows.orderBy("i").select(nutrition.reasons_for_null(F.col("nutrients"))).collect()]
+    assert (why[0]["kcal"], why[0]["fat_g"], why[0]["protein_g"], why[0]["salt_g"]) == (None, "no number", "missing", None)
+    assert all(v == "missing" for row in why[1:4] for v in row) and why[4]["fat_g"] is None
+    counts = {(r["column"], r["reason"]): r["n_values"] for r in cleaning.nutrient_problems(rows).collect()}
+    assert counts["fat_g", "no number"] == 1 and counts["fat_g", "missing"] == 2 and counts["kcal", "missing"] == 3
+    values = [r[0] for r in rows.orderBy("i").select(nutrition.from_text(F.col("nutrients"))).collect()]
+    assert all((v[c] is None) == (w[c] is not None) for v, w in zip(values, why) for c in nutrition.TEXT_COLUMNS)
+    assert cleaning.nutrient_problems(rows.limit(0)).agg(F.sum("n_values")).first()[0] == 0
+
+
 def table_lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
