@@ -1,12 +1,14 @@
 """Queries that evaluate the score, sample labels, compare prices and explore products."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from shelfmatch import constants as K
 from shelfmatch.functions import features
 from shelfmatch.operators import eda, evaluation, labels, prices
 from shelfmatch.plans import matching as plan
-from shelfmatch.plans.catalogue_queries import CLEAN_B, FEATURES_A, features_a, features_b
+from shelfmatch.plans.catalogue_queries import CLEAN_B, FEATURES_A, PRICE_COLUMN, features_a, features_b
 from shelfmatch.plans.match_queries import BEST, rounded
 from shelfmatch.plans.registry import query
 from shelfmatch.plans.views import table, view
@@ -257,6 +259,33 @@ def price_comparison_labelled(spark, folder):
     return compared(prices.price_comparison(checked))
 
 
+def _raw(chain):
+    """The chain on products that have units, and may lack sizes, units and ingredients."""
+    units = {
+        "cast(quantity as varchar) || 'kg; ": "coalesce(cast(quantity as varchar), '') || unit || '; ",
+        "price, ingredients": "unit, price, ingredients",
+        "l.price = p.price": "l.unit = p.unit and l.price = p.price",
+    }
+    return tuple((name, reduce(lambda sql, part: sql.replace(*part), units.items(), sql)) for name, sql in chain)
+
+
+RAW_LISTING = FEATURES_A + CLEAN_B + (("listing", """
+select 2 * p_partkey as product_id, 0 as shop, href, name_only, own_brand, round(quantity, 6) as quantity, coalesce(unit, '') as unit,
+  price, coalesce(ingredients, '') as ingredients from features_a
+union all
+select 2 * p_partkey + 1, 1, cast(2 * p_partkey + 1 as varchar), name_only,
+  regexp_matches(lower(name), 'ah|perla|delicata|de zaanse hoeve|zaanlander|brouwers'), round(quantity, 6), coalesce(unit, ''), price,
+  coalesce(ingredients, '') from clean_b"""),)
+
+
+@query("raw_price_comparison", VERDICT.replace("pairs_to_compare", "predicted"), ("raw_a", "raw_b"), RAW_LISTING + _raw(WINS))
+def raw_price_comparison(spark, folder):
+    """Both raw catalogues cleaned, handed over as CSV, matched and compared."""
+    raw_a = view(spark, folder, "raw_a").withColumn("product_id", 2 * F.col("p_partkey"))
+    raw_b = view(spark, folder, "raw_b").withColumn("product_id", 2 * F.col("p_partkey") + 1)
+    return compared(plan.compare_raw(raw_a, raw_b, PRICE_COLUMN, fresh_path(spark, "cleaned")))
+
+
 # --- exploration ---
 
 
