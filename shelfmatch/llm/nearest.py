@@ -13,10 +13,10 @@ from pyspark.sql import Window
 from shelfmatch.llm.common import hash_sample, quoted
 from shelfmatch.sources.staging import stage
 
-SAMPLE_ROWS = 20_000  # vectors that the lists are fitted on, those with the least hashes
-ROWS_PER_LIST = 16  # of the sample, at least
+SAMPLE_ROWS = 20_000  # vectors that one task or the driver fits lists on, those with the least hashes
+ROWS_PER_LIST = 16  # of the sample, about
 ROUNDS, SEED = 12, 11
-TRIALS = 400  # sampled vectors that choose the number of probed lists
+TRIALS = 400  # queries that choose the number of probed lists, each compared with all vectors
 COLUMNS = 16  # dimensions per block
 ERROR = 2.1  # of the test: the larger, the fewer true neighbours are given up
 SPARE = 12  # candidates kept beyond those asked for, until exact scores decide
@@ -51,58 +51,150 @@ def normed(vectors: DataFrame) -> DataFrame:
     return vectors.select("id", "vec").mapInArrow(run, "id long, size double, unit array<double>")
 
 
+def nearest_of(points: np.ndarray, centroids: np.ndarray, count: int) -> np.ndarray:
+    """The nearest ``count`` centroids of each point, nearest first."""
+    far = (centroids**2).sum(axis=1) - 2 * points @ centroids.T
+    if count >= far.shape[1]:
+        return np.argsort(far, axis=1, kind="stable")
+    near = np.argpartition(far, count - 1, axis=1)[:, :count]
+    return np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, axis=1), axis=1, kind="stable"), axis=1)
+
+
+def k_means(points: np.ndarray, count: int) -> np.ndarray:
+    centroids = points[np.random.default_rng(SEED).choice(len(points), count, replace=False)]
+    for _ in range(ROUNDS):
+        own = np.concatenate([nearest_of(points[at:at + 1000], centroids, 1)[:, 0] for at in range(0, len(points), 1000)])
+        sums = np.zeros_like(centroids)
+        np.add.at(sums, own, points)
+        sizes = np.bincount(own, minlength=count)
+        centroids = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], centroids)
+    return centroids
+
+
 @dataclass
 class Lists:
     """Centroids of vectors that got one more component, which gives all the same length (queries get a 0 there): the
-    nearest by distance are then the greatest by inner product. ``rotation`` mixes all dimensions evenly."""
+    nearest by distance are then the greatest by inner product. ``rotation`` mixes all dimensions evenly.
+
+    There are two levels: each list has a parent, and ``begins`` says where the lists of each parent stand. A vector
+    lies in the nearest list of its nearest parent; a query looks at the lists of its nearest ``wide`` parents.
+    """
 
     length: float
     rotation: np.ndarray
-    centroids: np.ndarray  # rotated
+    parents: np.ndarray  # rotated
+    centroids: np.ndarray  # rotated, those of one parent together
+    begins: np.ndarray  # one more than parents
 
     def rotated(self, vectors: np.ndarray, query: bool) -> np.ndarray:
         last = np.zeros(len(vectors)) if query else np.sqrt(np.maximum(0, self.length**2 - (vectors**2).sum(axis=1)))
         return np.concatenate((vectors, last[:, None]), axis=1) @ self.rotation
 
-    def order(self, rotated: np.ndarray, count: int) -> np.ndarray:
-        """The nearest ``count`` lists of each vector, nearest first."""
-        far = (self.centroids**2).sum(axis=1) - 2 * rotated @ self.centroids.T
-        if count >= far.shape[1]:
-            return np.argsort(far, axis=1, kind="stable")
-        near = np.argpartition(far, count - 1, axis=1)[:, :count]
-        return np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, axis=1), axis=1, kind="stable"), axis=1)
-
-
-def fit_lists(vectors: DataFrame, rows: int, length: float, dimensions: int, k: int, recall: float) -> tuple[Lists, int]:
-    """k-means on a bounded sample (about the square root of the rows as the number of lists, if the sample allows),
-    and how many lists to probe: so many that, among the sample, the part ``recall`` of the ``k`` true neighbours of
-    some sampled vectors lies in them."""
+    def order(self, rotated: np.ndarray, wide: int, count: int) -> np.ndarray:
+        """The nearest ``count`` lists among those of the nearest ``wide`` parents, nearest first; -1 where there are
+        no more."""
+        near = nearest_of(rotated, self.parents, wide)
+        sizes = np.diff(self.begins)
+        if sizes.max() == 1:
+            return near[:, :count]
+        most = int(sizes.max())
+        far = np.full((len(rotated), near.shape[1], most), np.inf)
+        number = np.full(far.shape, -1)
+        for parent in np.unique(near):
+            row, nth = np.nonzero(near == parent)
+            a, b = self.begins[parent:parent + 2]
+            own = self.centroids[a:b]
+            far[row, nth, :b - a] = (own**2).sum(axis=1) - 2 * rotated[row] @ own.T
+            number[row, nth, :b - a] = np.arange(a, b)
+        far, number = far.reshape(len(rotated), -1), number.reshape(len(rotated), -1)
+        best = np.argsort(far, axis=1, kind="stable")[:, :count]
+        return np.take_along_axis(number, best, axis=1)
+
+    def rows_together(self, wide: int) -> int:
+        """How many vectors to order at a time, so that their distances to lists fill 8 MB at most."""
+        return max(1, min(1000, (1 << 20) // (min(wide, len(self.parents)) * int(np.diff(self.begins).max()))))
+
+
+def fit_lists(vectors: DataFrame, rows: int, length: float, dimensions: int) -> Lists:
+    """About the square root of the rows as the number of lists, ``ROWS_PER_LIST`` sampled vectors each.
+
+    The parents are fitted by the driver on ``SAMPLE_ROWS`` vectors. If more lists are wanted than these can tell apart,
+    a sample that grows with the lists is dealt to the parents, and each parent is divided by a task of its own, on
+    at most ``SAMPLE_ROWS`` vectors. The driver gets the centroids: as many as the square root of the rows.
+    """
     sample = hash_sample(vectors, "vec", "vec", rows, SAMPLE_ROWS).collect()
     random = np.random.default_rng(SEED)
     rotation, _ = np.linalg.qr(random.standard_normal((dimensions + 1, dimensions + 1)))
-    lists = Lists(length, rotation, np.zeros((1, dimensions + 1)))
-    points = lists.rotated(np.array([r.vec for r in sample], float), False)
-    count = max(1, min(round(rows**0.5), len(points) // ROWS_PER_LIST))
-    lists.centroids = points[random.choice(len(points), count, replace=False)]
-    for _ in range(ROUNDS):
-        own = lists.order(points, 1)[:, 0]
-        sums = np.zeros_like(lists.centroids)
-        np.add.at(sums, own, points)
-        sizes = np.bincount(own, minlength=count)
-        lists.centroids = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], lists.centroids)
-    own = lists.order(points, 1)[:, 0]
-    vectors_of = np.array([r.vec for r in sample], float)
-    asked = np.arange(min(TRIALS, len(points)))
-    nearness = vectors_of[asked] @ vectors_of.T
-    nearness[asked, asked] = -np.inf
-    k = min(k, len(points) - 1)
-    if k < 1:
-        return lists, count
-    true = np.argpartition(-nearness, k - 1, axis=1)[:, :k]
-    order = lists.order(lists.rotated(vectors_of[asked], True), count)
-    nth = np.argsort(order, axis=1)  # of each list, for each query
-    needed = np.sort(np.take_along_axis(nth, own[true], axis=1).ravel())
-    return lists, int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))]) + 1
+    none = np.zeros((1, dimensions + 1))
+    points = Lists(length, rotation, none, none, np.array([0, 1])).rotated(np.array([r.vec for r in sample], float), False)
+    wanted = max(1, round(rows**0.5))
+    parents = k_means(points, max(1, min(wanted, len(points) // ROWS_PER_LIST)))
+    lists = Lists(length, rotation, parents, parents, np.arange(len(parents) + 1))
+    if wanted <= len(parents) or len(points) == rows:
+        return lists
+
+    def divide(members: pa.Table) -> pa.Table:
+        own = _matrix(members.column("rotated").combine_chunks())
+        centroids = k_means(own, max(1, len(own) // ROWS_PER_LIST))
+        return pa.table([pa.array(np.full(len(centroids), members.column("list")[0].as_py(), np.int32)), _rows(centroids)], ["parent", "rotated"])
+
+    low = F.xxhash64("vec") <= -(1 << 63) + ((1 << 64) - 1) * min(rows, wanted * ROWS_PER_LIST) // rows
+    placed = place(vectors.where(low), lists, 1, 1, False)
+    nth = F.row_number().over(Window.partitionBy("list").orderBy(F.xxhash64("id")))
+    members = placed.select("list", "id", "rotated").withColumn("n", nth).where(F.col("n") <= SAMPLE_ROWS)
+    found = members.select("list", "rotated").groupBy("list").applyInArrow(divide, "parent int, rotated array<float>").toArrow().sort_by("parent")
+    of = np.concatenate((found.column("parent").to_numpy(), np.setdiff1d(np.arange(len(parents)), found.column("parent").to_numpy())))
+    centroids = np.concatenate((_matrix(found.column("rotated").combine_chunks()), parents[of[found.num_rows:]]))  # no sampled vector: undivided
+    at = np.argsort(of, kind="stable")
+    return Lists(length, rotation, parents, centroids[at], np.searchsorted(of[at], np.arange(len(parents) + 1)))
+
+
+def choose_probes(index: DataFrame, asked: DataFrame, lists: Lists, k: int, recall: float) -> tuple[int, int]:
+    """How many parents and lists to look at: so many that they hold the part ``recall`` of the true ``k`` nearest
+    of ``TRIALS`` queries (those with the least hashes), which are compared with every vector."""
+    trials = asked.select("id", F.struct("id", "unit").alias("trial"))
+    trials = hash_sample(trials, "id", "trial", trials.count(), TRIALS).select("trial.*").toArrow()
+    if not trials.num_rows:
+        return 1, 1
+    ids, queries = trials.column("id").to_numpy(), lists.rotated(_matrix(trials.column("unit").combine_chunks()), True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near, where = np.full((len(ids), k), np.inf), np.full((len(ids), k), -1)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                matrix = _matrix(batch.column(2))
+                far = (matrix**2).sum(axis=1) - 2 * queries @ matrix.T
+                far[ids[:, None] == batch.column(1).to_numpy()] = np.inf
+                both = np.concatenate((near, far), axis=1)
+                best = np.argpartition(both, k - 1, axis=1)[:, :k]
+                own = np.broadcast_to(batch.column(0).to_numpy(), far.shape)
+                near, where = np.take_along_axis(both, best, axis=1), np.take_along_axis(np.concatenate((where, own), axis=1), best, axis=1)
+        query, nth = np.nonzero(np.isfinite(near))
+        yield pa.RecordBatch.from_arrays([pa.array(query.astype(np.int32)), pa.array(where[query, nth].astype(np.int32)), pa.array(near[query, nth])], ["trial", "list", "far"])
+
+    found = index.select("list", "id", "rotated").mapInArrow(run, "trial int, list int, far double")
+    nth = F.row_number().over(Window.partitionBy("trial").orderBy("far", "list"))
+    true = found.withColumn("n", nth).where(F.col("n") <= k).select("trial", "list").toArrow()
+    if not true.num_rows:
+        return 1, 1
+    trial, own = (true.column(c).to_numpy() for c in ("trial", "list"))
+
+    def enough(ranks: np.ndarray, part: float) -> int:
+        return int(np.sort(ranks)[min(len(ranks) - 1, int(np.ceil(part * len(ranks))))]) + 1
+
+    parent = np.searchsorted(lists.begins, own, "right") - 1
+    order = nearest_of(queries, lists.parents, len(lists.parents))
+    wide = enough(np.argsort(order, axis=1)[trial, parent], (1 + recall) / 2)
+    ranks = np.full(len(trial), len(lists.centroids))
+    step = lists.rows_together(wide)
+    for at in range(0, len(queries), step):
+        order = lists.order(queries[at:at + step], wide, len(lists.centroids))
+        mine = np.flatnonzero((trial >= at) & (trial < at + step))
+        for i in mine:
+            place_of = np.flatnonzero(order[trial[i] - at] == own[i])
+            ranks[i] = place_of[0] if len(place_of) else ranks[i]
+    return wide, min(enough(ranks, recall), len(lists.centroids))
 
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
@@ -114,19 +206,19 @@ def _rows(matrix: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, flat.shape[1]), pa.int32()), pa.array(flat.ravel()))
 
 
-def place(vectors: DataFrame, lists: Lists, probes: int, query: bool) -> DataFrame:
+def place(vectors: DataFrame, lists: Lists, wide: int, probes: int, query: bool) -> DataFrame:
     """(list, nth, id, rotated): each vector in its nearest list, or each query in its nearest ``probes`` lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = lists.rows_together(wide)
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
                 rotated = lists.rotated(_matrix(batch.column(1)), query)
-                near = lists.order(rotated, probes)
-                times = near.shape[1]
-                ids = np.repeat(batch.column(0).to_numpy(), times)
-                nth = np.tile(np.arange(times, dtype=np.int32), len(rotated))
-                yield pa.RecordBatch.from_arrays([pa.array(near.ravel().astype(np.int32)), pa.array(nth), pa.array(ids), _rows(np.repeat(rotated, times, axis=0))], ["list", "nth", "id", "rotated"])
+                near = lists.order(rotated, wide, probes)
+                row, nth = np.nonzero(near >= 0)
+                ids = batch.column(0).to_numpy()[row]
+                yield pa.RecordBatch.from_arrays([pa.array(near[row, nth].astype(np.int32)), pa.array(nth.astype(np.int32)), pa.array(ids), _rows(rotated[row])], ["list", "nth", "id", "rotated"])
 
     return vectors.select("id", "vec").mapInArrow(run, "list int, nth int, id long, rotated array<float>")
 
@@ -191,9 +283,10 @@ def find_in_band(band: DataFrame, asked: DataFrame, rows: int, size: float, dime
     greatest length has the logarithm ``size``. Vectors are scaled by that length, and queries have length 1, so what
     single precision rounds away is small beside the inner products of the band."""
     vectors = stage(band.select("id", F.transform("unit", lambda x: x * F.pow(F.lit(2.0), F.col("size") - size)).alias("vec")), "band")
-    lists, probes = fit_lists(vectors, rows, 1.0, dimensions, k, recall)
-    index = stage(place(vectors, lists, 1, False).select("list", "id", "rotated"), "index")
-    wanted = stage(place(asked.withColumnRenamed("unit", "vec"), lists, probes, True), "probes")
+    lists = fit_lists(vectors, rows, 1.0, dimensions)
+    index = stage(place(vectors, lists, 1, 1, False).select("list", "id", "rotated"), "index")
+    wide, probes = choose_probes(index, asked, lists, k, recall)
+    wanted = stage(place(asked.withColumnRenamed("unit", "vec"), lists, wide, probes, True), "probes")
     first = stage(scan(index, wanted.where("nth = 0").withColumn("limit", F.lit(float("inf"))), keep), "first")
     by_query = Window.partitionBy("query").orderBy("distance")
     limits = first.withColumn("n", F.row_number().over(by_query)).where(F.col("n") == keep).select(F.col("query").alias("id"), F.col("distance").alias("limit"))
@@ -216,8 +309,8 @@ def search(
 
     Equal vectors are one entry of the index, with their ``k + 1`` smallest ids, so a vector that a third of all rows
     share is one candidate and one query. Vectors of very different lengths (in bands of ``2 ** BAND``) have indexes of
-    their own, each asked by every query. The number of probed lists is chosen on the sample for the stated ``recall``
-    (see ``fit_lists``).
+    their own, each asked by every query. The number of probed lists is chosen for the stated ``recall`` (see
+    ``choose_probes``). A query looks at ``probes`` lists of about the square root of the rows each.
     """
     spark = vectors.sparkSession
     rows = vectors.select(quoted(vec_id).cast("long").alias("id"), quoted(vector).cast("array<double>").alias("vec"), is_query.alias("asks"))

@@ -429,3 +429,36 @@ def test_nearest_recall_beside_very_long_vectors(spark):
         scores[q] = -np.inf
         hits += len(near & set(np.argsort(-scores)[:20].tolist()))
     assert len(found) == 50 and hits / 1000 >= 0.9
+
+
+def test_lists_of_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "SAMPLE_ROWS", 320)  # 20 parents; 63 lists are wanted
+    rng = np.random.default_rng(4)
+    matrix = rng.standard_normal((40, 24))[rng.integers(0, 40, 4000)] + 0.6 * rng.standard_normal((4000, 24))
+    matrix /= np.linalg.norm(matrix, axis=1).max()
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(matrix)], "id long, vec array<double>")
+    lists = nearest.fit_lists(table, 4000, 1.0, 24)
+    assert len(lists.parents) == 20 and 40 <= len(lists.centroids) <= 90 and lists.begins[-1] == len(lists.centroids)
+    assert len(lists.begins) == 21 and (np.diff(lists.begins) >= 1).all()
+    rotated = lists.rotated(matrix, False)
+    own = {r.id: r.list for r in nearest.place(table, lists, 1, 1, False).collect()}
+    assert len(own) == 4000
+    for i, x in enumerate(rotated[:300]):
+        parent = ((lists.parents - x) ** 2).sum(axis=1).argmin()
+        a, b = lists.begins[parent:parent + 2]
+        assert own[i] == a + ((lists.centroids[a:b] - x) ** 2).sum(axis=1).argmin()
+    every = lists.order(rotated[:5], 20, len(lists.centroids))
+    assert (np.sort(every, axis=1) == np.arange(len(lists.centroids))).all()
+    far = ((lists.centroids[every] - rotated[:5, None]) ** 2).sum(axis=2)
+    assert (np.diff(far, axis=1) >= -1e-9).all()
+    some = lists.order(rotated[:5], 2, len(lists.centroids))  # the lists of two parents, then nothing
+    assert all(((x >= 0) == (np.arange(len(x)) < (x >= 0).sum())).all() for x in some)
+
+    hits, found = 0, {}
+    for r in nearest.search(table, F.col("id") % 40 == 0, vec_id="id", vector="vec").collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    for q, near in found.items():
+        scores = matrix @ matrix[q]
+        scores[q] = -np.inf
+        hits += len(near & set(np.argsort(-scores)[:20].tolist()))
+    assert len(found) == 100 and hits / 2000 >= 0.9
