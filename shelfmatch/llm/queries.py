@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.llm import bpe, chat, cross_entropy, decontaminate, divergence, infill, language, lines, nearest, quality, sharding, simhash, warc
-from shelfmatch.llm.common import table
+from shelfmatch.llm.common import bound_batches, table
 from shelfmatch.sources.staging import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,7 @@ def op1_ann_search(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
     """Target: the documents labelled as good."""
+    bound_batches(spark)
     good = table(spark, folder, "labels").where("quality = 1").select("doc_id")
     return cross_entropy.score_documents(table(spark, folder, "documents"), good)
 
