@@ -10,13 +10,6 @@ from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK_BYTES = 2_000_000  # text that a Python task holds in numpy form at a time
-# What a task holds of whole texts at a time, in the JVM and again in Python: session settings, as they act when a result
-# is read or written, which need not be here. Rows are written in groups of 16 MB and go to Python in batches of 4 MB.
-BOUNDS = {
-    "parquet.block.size": str(16 << 20),
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-}
 HEAVY = 4096  # a key of more than this part of all rows is heavy, so fewer keys than this are
 
 
@@ -24,9 +17,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession) -> None:
-    for key, value in BOUNDS.items():
-        spark.conf.set(key, value)
+def bound_batches(spark: SparkSession, megabytes: int = 4, rows: int = 1000) -> None:
+    """What a task holds of whole texts at a time, in the JVM and again in Python: rows are written in groups of 16 MB
+    and go to Python in batches. Session settings, as they act when a result is read or written, which need not be here."""
+    spark.conf.set("parquet.block.size", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def spare(df: DataFrame, *names: str) -> list[str]:

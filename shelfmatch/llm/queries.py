@@ -48,7 +48,7 @@ def op1_ann_search(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
     """Target: the documents labelled as good."""
-    bound_batches(spark)
+    bound_batches(spark, 8, 10_000)  # the words of 8 MB of text are counted together
     good = table(spark, folder, "labels").where("quality = 1").select("doc_id")
     return cross_entropy.score_documents(table(spark, folder, "documents"), good)
 
