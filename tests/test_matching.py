@@ -142,3 +142,14 @@ def test_one_row_per_href(spark):
     rows = [(*r[:2], "http://same" if r[0] == "a" else r[2], *r[3:]) for r in rows]
     best = plan.match(spark.createDataFrame(rows, SCHEMA)).collect()
     assert [(r["href"], r["product_id_a"], r["product_id_b"]) for r in best] == [("http://same", 2, 3)]
+
+
+@pytest.mark.parametrize("threshold", [None, K.PAIR_THRESHOLD])
+def test_pairs_are_scored_in_their_cells(spark, threshold):
+    """No pair is shuffled or joined to fetch what it is scored on: the only joins are those of the cells."""
+    ready = matching.prepare(spark.createDataFrame(catalogue(3, 60), SCHEMA))
+
+    def joins(pairs):
+        return pairs._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    assert joins(plan.scored_pairs(ready, threshold)) == joins(matching.candidate_pairs(ready.profiles, threshold)) > 0
