@@ -52,19 +52,22 @@ def _depth(before: Column, part: Column, tag: str) -> Column:
 
 
 def until_close(markup: Column, tag: str) -> Column:
-    """What stands behind an opening tag up to its own closing tag, or to the end if it has none."""
+    """What stands behind an opening tag up to its own closing tag, or to the end if it has none. Only where another
+    element of this name opens before the first closing tag are the tags counted."""
 
     def step(now, part):
-        depth = _depth(now["depth"], part, tag)
-        end = F.when(now["end"] >= 0, now["end"]).when(depth == 0, now["i"]).otherwise(F.lit(-1))
-        return F.struct(depth.alias("depth"), (now["i"] + 1).alias("i"), end.alias("end"))
+        counted = let(_depth(now["depth"], part, tag), lambda depth: F.struct(
+            depth.alias("depth"), (now["i"] + 1).alias("i"), F.when(depth == 0, now["i"]).otherwise(F.lit(-1)).alias("end")
+        ))
+        return F.when(now["end"] >= 0, now).otherwise(counted)
 
     def read(parts):
         begin = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("i"), F.lit(-1).alias("end"))
         end = F.aggregate(parts, begin, step, lambda now: F.when(now["end"] >= 0, now["end"]).otherwise(now["i"]))
         return F.array_join(F.slice(parts, F.lit(1), end), "")
 
-    return let(_parts(markup, tag), read)
+    first = F.get(F.split(markup, rf"</(?i:{tag}){_TAG_END}", 2), F.lit(0))
+    return let(first, lambda inner: F.when(inner.rlike(rf"<(?i:{tag}){_TAG_END}"), let(_parts(markup, tag), read)).otherwise(inner))
 
 
 def element(html: Column, tag: str, css: str | None = None) -> Column:
@@ -79,17 +82,39 @@ def anchors(html: Column, css: str | None = None) -> Column:
     return F.filter(hrefs, lambda h: h != "")
 
 
+def _in_runs(parts: Column) -> Column:
+    """The array in runs of about the square root of its length."""
+    size = F.greatest(F.ceil(F.sqrt(F.size(parts))).cast("int"), F.lit(1))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1)), size)
+    return F.transform(starts, lambda start: F.slice(parts, start, size))
+
+
 def anchors_inside(html: Column, container: str, css: str | None = None) -> Column:
-    """The same, only for anchors inside elements of kind ``container``, however deep."""
+    """The same, only for anchors inside elements of kind ``container``, however deep.
+
+    An aggregate copies the array that it lengthens at each step, so the parts of the page are read in runs, and a run
+    knows the depth that it begins at: a page of n parts costs n times the root of n short copies, not n times n.
+    """
     none = F.array().cast("array<string>")
 
-    def step(now, part):
-        depth = F.greatest(F.lit(0), _depth(now["depth"], part, container))
-        found = F.when(depth > 0, F.concat(now["found"], anchors(part, css))).otherwise(now["found"])
-        return F.struct(depth.alias("depth"), found.alias("found"))
+    def deeper(depth, part):
+        return F.greatest(F.lit(0), _depth(depth, part, container))
+
+    def begins(runs):
+        def step(now, run):
+            return F.struct(F.aggregate(run, now["depth"], deeper).alias("depth"), F.concat(now["all"], F.array(now["depth"])).alias("all"))
+
+        return F.aggregate(runs, F.struct(F.lit(0).alias("depth"), F.array().cast("array<int>").alias("all")), step, lambda now: now["all"])
+
+    def found(run, begin):
+        def step(now, part):
+            return let(deeper(now["depth"], part), lambda depth: F.struct(
+                depth.alias("depth"), F.when(depth > 0, F.concat(now["found"], anchors(part, css))).otherwise(now["found"]).alias("found")
+            ))
+
+        return F.aggregate(run, F.struct(begin.alias("depth"), none.alias("found")), step, lambda now: now["found"])
 
-    begin = F.struct(F.lit(0).alias("depth"), none.alias("found"))
-    return F.aggregate(_parts(html, container), begin, step, lambda now: now["found"])
+    return let(_parts(html, container), lambda parts: let(_in_runs(parts), lambda runs: F.flatten(F.zip_with(runs, begins(runs), found))))
 
 
 def absolute(base: Column, href: Column) -> Column:

@@ -133,5 +133,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of ``VIEWS`` over the tables of ``folder``."""
     for base in ("part", "documents", "labels"):
-        table(spark, folder, base).createOrReplaceTempView(base)
+        rows = table(spark, folder, base)
+        if name == "product_pages" and base == "part":  # a page is a hundred times its short row: one split has very many
+            rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        rows.createOrReplaceTempView(base)
     return spark.sql(VIEWS[name])

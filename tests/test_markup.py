@@ -89,3 +89,25 @@ def test_very_long_names_are_read_in_linear_time(spark, text):
     start = time.perf_counter()
     assert len(rows.select(*columns).collect()) == 1
     assert time.perf_counter() - start < 3  # Spark's own share included; quadratic patterns take a minute
+
+
+def test_anchors_of_a_very_long_page(spark):
+    def page(n):
+        return "<a href='/no'>x</a>" + "".join(f"<li><li></li><a href='/{i}'>x</a></li><a href='/no'>x</a>" for i in range(n))
+
+    for n in (0, 1, 2, 3, 50):
+        assert read(spark, page(n), html.anchors_inside, "li") == [f"/{i}" for i in range(n)]
+    began = time.time()
+    assert read(spark, page(20_000), html.anchors_inside, "li") == [f"/{i}" for i in range(20_000)]
+    assert time.time() - began < 20  # each part used to copy all anchors found before it
+
+
+def test_element_without_nested_ones_reads_no_further(spark):
+    page = "<div class='price'><span class=price-large>1</span><span class=price-small>05</span></div>" + "<div><div>x</div></div>" * 300
+    for markup in ("x</div >y", "x</DIV>y", "x<div/>y</div>z", "x<div>y</div>z</div>w", "x<divan>y</div>", "x"):
+        want = {"x</div >y": "x", "x</DIV>y": "x", "x<div/>y</div>z": "x<div/>y", "x<div>y</div>z</div>w": "x<div>y</div>z", "x<divan>y</div>": "x<divan>y", "x": "x"}
+        assert read(spark, markup, html.until_close, "div") == want[markup]
+    pages = spark.range(2000).select(F.lit(page).alias("html"))
+    began = time.time()
+    assert pages.select(html.price(F.col("html")).alias("price")).where("price = 1.05").count() == 2000
+    assert time.time() - began < 20
