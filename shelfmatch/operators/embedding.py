@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WORD = re.compile(r"\w+")
+MOST_TOKENS = 100_000  # that a Python worker remembers
+BATCH_BYTES = 4 << 20  # of texts that go to Python at a time
 Encoder = Callable[[list[str]], np.ndarray]
 
 
@@ -22,7 +24,7 @@ class _Buckets(dict):
         self.width = width
 
     def __missing__(self, token):
-        if len(self) > 500_000:
+        if len(self) >= MOST_TOKENS:
             self.clear()
         bucket = self[token] = int(hashlib.md5(token.encode()).hexdigest()[-8:], 16) % self.width
         return bucket
@@ -46,7 +48,9 @@ class HashedTokens:
 
 def encode(products: DataFrame, column="product_text", make_encoder: Callable[[], Encoder] = HashedTokens) -> DataFrame:
     """Add ``embedding``. ``make_encoder`` runs once per Python worker task, so a model is loaded once, not per batch.
-    Rows are encoded where they are; a caller with few large splits and a slow model repartitions before."""
+    Rows are encoded where they are; a caller with few large splits and a slow model repartitions before. The bound on the
+    bytes of a batch is a session setting, as it acts when the result is read."""
+    products.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -2,12 +2,13 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmatch import constants as K
 from shelfmatch.functions import html
-from shelfmatch.operators import corpus, evaluation, labels, matching, ordered, pages
+from shelfmatch.operators import corpus, embedding, evaluation, labels, matching, ordered, pages
 from shelfmatch.operators.embedding import HashedTokens
 from shelfmatch.plans import matching as plan
 from shelfmatch.sources import catalogues, staging
@@ -129,3 +130,15 @@ def test_fixed_words():
     assert {"&", "1", "beste", "passiezaanlander", "en", "het", "van", "mini"} <= set(K.STOPWORDS) and len(set(K.STOPWORDS)) == 33
     assert math.isclose(sum(K.WEIGHTS.values()), 1.0) and K.PAIR_THRESHOLD == 0.6 and K.MATCH_THRESHOLD == 0.78
     assert K.MULTIPACK_FACTORS["cl"] == 0.01 and corpus.NULL_BLOCK == ""
+
+
+def test_long_texts_are_encoded_in_batches_of_few_bytes(spark):
+    def make_encoder():
+        def encoder(texts):
+            return np.array([[sum(map(len, texts))]] * len(texts), dtype=np.float32)
+
+        return encoder
+
+    texts = spark.range(0, 2000, 1, 1).select("id", F.repeat(F.lit("x"), 10_000).alias("product_text"))
+    together = embedding.encode(texts, make_encoder=make_encoder).agg(F.max(F.col("embedding")[0])).first()[0]
+    assert together < 2 * embedding.BATCH_BYTES  # 20 MB came at once
