@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -9,10 +10,14 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from shelfmatch import constants as K
+from shelfmatch.functions import similarity
 from shelfmatch.operators import matching
 from shelfmatch.operators.embedding import HashedTokens
 from shelfmatch.plans import matching as plan
+from shelfmatch.sources import staging
 
 SCHEMA = "side string, product_id long, href string, name_only string, own_brand boolean, quantity double, price double, product_text string"
 
@@ -160,3 +165,29 @@ def test_rows_of_a_repeated_id_all_meet(spark):
     n = ready.profiles.where("product_id = 1").count()
     assert plan.scored_pairs(ready).count() == n * n  # each row of the profile with the columns of each
     assert [(r["product_id_a"], r["product_id_b"]) for r in plan.best_of(ready).collect()] == [(1, 2)]
+
+
+def test_repeats_of_a_row_follow_the_cluster_not_the_block(spark):
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for n in (20_000, 60_000):
+        rows = spark.range(2 * n).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("side"), F.lit("k").alias("block_key"))
+        laid = matching.layout(rows, None)
+        assert math.ceil(n / laid.cell_rows) <= math.isqrt(matching.CELLS_PER_TASK * shuffle)
+
+
+def test_packed_products_equal_those_of_the_arrays(spark):
+    rows = [([0.5, 0.25], [1.0, 0.1]), ([0.3, 0.7], [0.2, 0.9]), (None, [1.0, 2.0])]
+    for kind, numbers in (("float", "float32"), ("double", "float64")):
+        pairs = spark.createDataFrame(rows, f"x array<{kind}>, y array<{kind}>")
+        both = pairs.select(similarity.packed(F.col("x")).alias("p"), similarity.packed(F.col("y")).alias("q"), "x", "y").select(
+            similarity.packed_product(F.col("p"), F.col("q"), numbers).alias("packed"), similarity.dot_product(F.col("x"), F.col("y")).alias("plain")
+        ).collect()
+        assert [r.packed for r in both] == [r.plain for r in both]
+        assert [r.packed is None for r in both] == [False, False, True]
+
+
+def test_no_staged_table_keeps_the_texts(spark):
+    begun = staging.mark(spark)
+    matching.prepare(spark.createDataFrame(catalogue(1), SCHEMA))
+    left = [path for path in staging.since(spark, begun) if os.path.exists(path)]
+    assert left and all("product_text" not in spark.read.parquet(path).columns for path in left)
