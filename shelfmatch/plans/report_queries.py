@@ -203,7 +203,7 @@ from predicted""")))
 
 
 def predicted(spark, folder):
-    return prices.predicted_pairs(plan.match(plan.listing_sides(spark, folder)))
+    return plan.predicted(plan.listing_sides(spark, folder))
 
 
 @query("price_diff", "select product_id_a, product_id_b, round(abs_price_diff, 6) as abs_price_diff, round(rel_price_diff, 6) as rel_price_diff from diffs",

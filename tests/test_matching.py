@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch import constants as K
 from shelfmatch.functions import similarity
-from shelfmatch.operators import matching
+from shelfmatch.operators import matching, prices
 from shelfmatch.operators.embedding import HashedTokens
 from shelfmatch.plans import matching as plan
 from shelfmatch.sources import staging
@@ -191,3 +191,14 @@ def test_no_staged_table_keeps_the_texts(spark):
     matching.prepare(spark.createDataFrame(catalogue(1), SCHEMA))
     left = [path for path in staging.since(spark, begun) if os.path.exists(path)]
     assert left and all("product_text" not in spark.read.parquet(path).columns for path in left)
+
+
+def test_the_match_threshold_prunes_the_pairs_of_predicted_matches(spark, monkeypatch):
+    """Pairs that cannot be predicted are not made, and what is predicted is the same as from all best pairs."""
+    rows = spark.createDataFrame(catalogue(7, 60), SCHEMA)
+    every = prices.predicted_pairs(plan.match(rows)).collect()
+    given = []
+    monkeypatch.setattr(plan, "scored_pairs", lambda ready, threshold=K.PAIR_THRESHOLD: given.append(threshold) or matching.score_pairs(ready.profiles, threshold))
+    found = plan.predicted(rows).collect()
+    assert given == [K.MATCH_THRESHOLD]
+    assert every and sorted(map(str, found)) == sorted(map(str, every))
