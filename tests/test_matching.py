@@ -202,3 +202,24 @@ def test_the_match_threshold_prunes_the_pairs_of_predicted_matches(spark, monkey
     found = plan.predicted(rows).collect()
     assert given == [K.MATCH_THRESHOLD]
     assert every and sorted(map(str, found)) == sorted(map(str, every))
+
+
+def test_texts_are_not_written_and_not_shuffled_where_the_scan_has_tasks(spark, tmp_path, monkeypatch):
+    """A text is most of a row: it is read again for the encoder. With few splits the texts are dealt, with the same result."""
+    spark.createDataFrame(catalogue(9, 80), SCHEMA).repartition(8).write.parquet(str(tmp_path / "products"))
+    products = spark.read.parquet(str(tmp_path / "products")).repartition(8, "product_id")
+    written, plans = {}, []
+    whole, encode = matching.stage, matching.encode
+    monkeypatch.setattr(matching, "stage", lambda df, name: written.setdefault(name, df.columns) and whole(df, name))
+    monkeypatch.setattr(matching, "encode", lambda df, *given: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or encode(df, *given))
+    spread = matching.prepare(products).profiles
+    dealt = matching.prepare(products.coalesce(1)).profiles
+    assert all("product_text" not in columns for columns in written.values())
+    assert ["RepartitionByExpression [side" in p for p in plans] == [False, True]
+    assert sorted(map(str, spread.collect())) == sorted(map(str, dealt.collect()))
+
+
+def test_profile_keys_are_short(spark):
+    """Key rows carry the keys of both profiles through the shuffle: 128 bits, not the 64 letters of a hash."""
+    keys = matching.prepare(spark.createDataFrame(catalogue(1), SCHEMA)).profiles.select("profile_key")
+    assert keys.distinct().count() == keys.count() and {len(r.profile_key) for r in keys.collect()} == {16}
