@@ -24,6 +24,8 @@ TASK_PAIRS = 400_000  # pairs one join task should look at, and score
 TASK_ROWS = 100_000  # rows one join task should hold, with names and vectors
 MOST_TASKS = 20_000  # of the pair join; beyond that a task looks at more pairs, never at more rows together
 CELLS_PER_TASK = 4
+CELLS_PER_CORE = 8  # of the largest cells; few, as a row is repeated for each cell along its line
+CELL_PAIRS = 1_000_000  # of a cell that is larger than it must be: those that pass wait for Python and are sorted in its task
 MOST_CELL_ROWS = 25_000  # rows of one side that a cell may hold so that rows are repeated less
 ZONED_PAIRS = 100_000_000  # pairs of a block from which it is joined zone by zone
 SLACK = 1e-6  # stored float vectors have length one only up to rounding
@@ -158,9 +160,12 @@ def layout(rows: DataFrame, threshold: float | None) -> Layout:
     tasks = max(shuffle, min(MOST_TASKS, max(pairs // TASK_PAIRS, size // TASK_ROWS)))
     by_pairs = math.isqrt(pairs // (CELLS_PER_TASK * tasks))
     # a row is repeated once per line of the grid: a bound by the cluster, as one by pairs would grow with the block, and
-    # the shuffled bytes with its square. The largest block still fills all tasks
+    # the shuffled bytes with its square. The largest block still fills all tasks, and so do the pairs of all blocks
+    # together: cells smaller than that only repeat rows, in every block that is cut
     by_rows = math.ceil((sums["side"] or 0) / math.isqrt(CELLS_PER_TASK * shuffle))
-    return Layout(whole, zoned, pairs_of_zones, pairs, tasks, max(MIN_CELL_ROWS, by_pairs, min(MOST_CELL_ROWS, by_rows)))
+    by_cores = math.isqrt(min(CELL_PAIRS, pairs // max(shuffle, CELLS_PER_CORE * spark.sparkContext.defaultParallelism)))
+    cell_rows = max(MIN_CELL_ROWS, by_pairs, min(MOST_CELL_ROWS, max(by_rows, by_cores)))
+    return Layout(whole, zoned, pairs_of_zones, pairs, tasks, cell_rows)
 
 
 def _parts(embedding, fuzz, jacc):

@@ -223,3 +223,19 @@ def test_profile_keys_are_short(spark):
     """Key rows carry the keys of both profiles through the shuffle: 128 bits, not the 64 letters of a hash."""
     keys = matching.prepare(spark.createDataFrame(catalogue(1), SCHEMA)).profiles.select("profile_key")
     assert keys.distinct().count() == keys.count() and {len(r.profile_key) for r in keys.collect()} == {16}
+
+
+def test_cells_are_as_large_as_all_blocks_together_allow(spark):
+    """Many blocks of one size: cells cut to spread one block alone would repeat the rows of all of them."""
+    n, blocks = 4_000, 32
+    rows = spark.range(2 * n * blocks).select(
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("side"), (F.col("id") % (2 * blocks) / 2).cast("int").cast("string").alias("block_key"))
+    shuffle = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "100")
+        laid = matching.layout(rows, None)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+    assert laid.pairs == n * n * blocks
+    assert math.ceil(n / laid.cell_rows) <= 4  # it was 13
+    assert laid.cell_rows**2 <= matching.CELL_PAIRS
