@@ -178,6 +178,12 @@ def test_bpe_equals_the_library(codecs, parts):
     assert [e.tolist() for e in ours.encode_all(texts)] == [e.ids for e in theirs.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_characters_newer_than_the_rules_are_no_letters(codecs):
+    ours, theirs = codecs
+    texts = [c + "'s" for c in "\u0558\u0c5c\U000187f8\U00011de0\U0002b73a\U000323b0\U00033479\U0003347a\U000323af\U0003d000"]
+    assert [e.tolist() for e in ours.encode_all(texts)] == [e.ids for e in theirs.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_bpe_of_long_words_and_texts(codecs, monkeypatch):
     ours, theirs = codecs
     monkeypatch.setattr(bpe, "BLOCK", 64)
